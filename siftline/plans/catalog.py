@@ -815,8 +815,8 @@ def m1_batch_accounting(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _event_stream(spark: SparkSession, d: str) -> DataFrame:
-    path = f"{d}/events.parquet"
-    return stream_files(spark, path, spark.read.parquet(path).schema)
+    schema = read_table(spark, d, "events").schema
+    return stream_files(spark, f"{d}/events.parquet*", schema)
 
 
 def _log_stream(spark: SparkSession, d: str) -> DataFrame:

@@ -23,10 +23,10 @@ from ..sinks.committed import (
     commit_batch,
     commits,
     committed_positions,
+    last_batch,
     read_or_empty,
     read_output,
 )
-from ..sources.batches import read_committed
 from ..sources.positions import collect_positions, resume_after
 
 _DELTA = T.StructType([*REGISTRY.fields, T.StructField("batch_id", T.LongType())])
@@ -62,13 +62,15 @@ class DedupJob:
         return read_output(self._spark, self._root, outcome)
 
     def registry(self, as_of: int | None = None) -> DataFrame:
-        """All committed entries, or those up to a batch: a restore point."""
-        rows = read_committed(
-            read_or_empty(self._spark, f"{self._root}/registry", _DELTA), self.commits()
-        )
-        if as_of is not None:
-            rows = rows.where(F.col("batch_id") <= as_of)
-        return rows.drop("batch_id")
+        """All committed entries, or those up to a batch: a restore point.
+
+        Batch ids have no holes, so a filter on the folder name leaves out an
+        aborted attempt.
+        """
+        newest = last_batch(self._spark, self._root)
+        upto = newest if as_of is None else min(as_of, newest)
+        entries = read_or_empty(self._spark, f"{self._root}/registry", _DELTA)
+        return entries.where(F.col("batch_id") <= upto).drop("batch_id")
 
     def run(self, log: DataFrame) -> int | None:
         """Process what is new as one batch; its id, or None if there was nothing."""
@@ -76,8 +78,7 @@ class DedupJob:
         fresh = guard_key(resume_after(log, positions), self._on_null_key)
         if fresh.isEmpty():
             return None
-        last = self.commits().agg(F.max("batch_id")).first()[0]
-        batch_id = 0 if last is None else last + 1
+        batch_id = last_batch(self._spark, self._root) + 1
 
         known = self.registry()
         seen = F.date_trunc("second", F.current_timestamp()) if self._seen is None else F.col(self._seen)

@@ -105,13 +105,23 @@ def committed_positions(spark: SparkSession, root: str) -> DataFrame:
     return commits(spark, root).groupBy("partition").agg(F.max("committed_offset").alias("offset"))
 
 
+def last_batch(spark: SparkSession, root: str) -> int:
+    """The newest committed batch id, -1 before the first."""
+    newest = commits(spark, root).agg(F.max("batch_id")).first()[0]
+    return -1 if newest is None else newest
+
+
 def read_output(spark: SparkSession, root: str, outcome: str = "unique") -> DataFrame:
-    """Committed records of one outcome; the folder names prune the other files.
+    """Committed records of one outcome.
 
-    Delivery order is (partition, offset): sort by it where order matters.
+    Folder names prune other outcomes and anything after the newest marker, so a
+    batch that is being written or repeated is not opened at all. Delivery order
+    is (partition, offset): sort by it where order matters.
     """
-    rows = spark.read.parquet(f"{root}/records").where(F.col("outcome") == outcome).drop("outcome")
-    return read_committed(rows, commits(spark, root))
+    rows = spark.read.parquet(f"{root}/records").where(
+        (F.col("outcome") == outcome) & (F.col("batch_id") <= last_batch(spark, root))
+    )
+    return read_committed(rows.drop("outcome"), commits(spark, root))
 
 
 def append_new(rows: DataFrame, path: str, on: list[str]) -> None:
