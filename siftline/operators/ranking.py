@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..session import settle
 
+# Up to this many (group, block) rows are broadcast; each has a few narrow columns.
+BROADCAST_ROWS = 200_000
+
 
 def with_position(
     df: DataFrame, groups: Sequence[str], order: Sequence[str], name: str = "pos"
@@ -21,6 +24,8 @@ def with_position(
     group lie in earlier blocks. The rows must be unique by group and order.
 
     The checkpoint keeps the block numbers the same for both uses of the rows.
+    The small table is broadcast if its counted size allows; otherwise both sides
+    are shuffled by (block, group), which a large group does not unbalance.
     """
     if not groups:
         raise ValueError("at least one group column is needed")
@@ -32,7 +37,7 @@ def with_position(
         .withColumn("_block", F.shiftrightunsigned("_row", 33))
     )
     earlier = W.partitionBy(*groups).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    starts = (
+    starts = settle(
         numbered.groupBy(*groups, "_block")
         .agg(F.min("_row").alias("_low"), F.count(F.lit(1)).alias("_n"))
         .select(
@@ -41,6 +46,8 @@ def with_position(
             (F.col("_low") - F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - 1).alias("_base"),
         )
     )
+    if starts.count() <= BROADCAST_ROWS:
+        starts = F.broadcast(starts)
     same = F.col("_block") == F.col("_b")
     for g in groups:
         same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))

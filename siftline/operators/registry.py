@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..sources.positions import resume_after
 from .dedup import first_positions, flag_records, identity
+from .joins import join_skewed
 
 
 def new_entries(
@@ -33,12 +34,8 @@ def extend_registry(
 
 
 def lookup(keys: DataFrame, registry: DataFrame, scope: str = "topic") -> DataFrame:
-    """Registry entry of each asked key; nulls where there is none.
-
-    The registry holds a key once, so repeats of a key stay on the left side,
-    where the engine can split a skewed partition.
-    """
-    return keys.join(registry, identity(scope), "left")
+    """Registry entry of each asked key; nulls where there is none."""
+    return join_skewed(keys, registry, identity(scope), "left")
 
 
 def dedup_increment(

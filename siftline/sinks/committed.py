@@ -19,6 +19,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.accounting import batch_accounting
+from ..session import session_conf
 from ..sources.batches import read_committed
 
 KickoutHandler = Callable[[DataFrame, int], None]
@@ -64,13 +65,15 @@ def commit_batch(
         .when(F.col("is_duplicate"), "kickout")
         .otherwise("unique")
     )
-    (
-        flagged.withColumn("outcome", outcome)
-        .drop("is_duplicate")
-        .write.mode("overwrite")
-        .partitionBy("outcome")
-        .parquet(target)
-    )
+    # One open file per outcome and task, instead of sorting the rows by outcome.
+    with session_conf(spark, {"spark.sql.maxConcurrentOutputFileWriters": "3"}):
+        (
+            flagged.withColumn("outcome", outcome)
+            .drop("is_duplicate")
+            .write.mode("overwrite")
+            .partitionBy("outcome")
+            .parquet(target)
+        )
     schema = T.StructType(
         [f for f in flagged.schema.fields if f.name != "is_duplicate"]
         + [T.StructField("outcome", T.StringType())]
@@ -121,7 +124,8 @@ def read_output(spark: SparkSession, root: str, outcome: str = "unique") -> Data
     rows = spark.read.parquet(f"{root}/records").where(
         (F.col("outcome") == outcome) & (F.col("batch_id") <= last_batch(spark, root))
     )
-    return read_committed(rows.drop("outcome"), commits(spark, root))
+    whole = rows.drop("outcome").withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    return read_committed(whole, commits(spark, root))
 
 
 def append_new(rows: DataFrame, path: str, on: list[str]) -> None:
@@ -137,13 +141,11 @@ def append_new(rows: DataFrame, path: str, on: list[str]) -> None:
 def write_flushes(emitted: DataFrame, path: str, flush: str = "flush_id") -> None:
     """Sorted events to a table: one folder per flush, replaced when written again.
 
-    Rows are range-partitioned by (flush, lane, pos), so a big flush spans
-    several files, each of them sorted.
+    The sort leaves each stretch of a flush in one task, so nothing is shuffled
+    here: a small flush is one file, a large one several, each of them sorted.
     """
-    keys = [flush, "partition", "pos"]
     (
-        emitted.repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
+        emitted.sortWithinPartitions(flush, "partition", "pos")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(flush)

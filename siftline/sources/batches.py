@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..operators.joins import join_skewed
 from ..operators.ranking import with_position
 
 DEFAULT_BATCH = 1000
@@ -28,4 +29,4 @@ def assign_batches(records: DataFrame, size: int = DEFAULT_BATCH) -> DataFrame:
 def read_committed(rows: DataFrame, commits: DataFrame, on: str | list[str] = "batch_id") -> DataFrame:
     """Only rows whose batch has a commit marker."""
     keys = [on] if isinstance(on, str) else on
-    return rows.join(commits.select(*keys), keys, "left_semi")
+    return join_skewed(rows, commits.select(*keys), keys, "left_semi")

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from ..session import ROCKSDB_PROVIDER
+from ..session import ROCKSDB_PROVIDER, session_conf
 
 # A query takes over these settings when it starts.
 STATE_CONF = {
@@ -20,22 +19,6 @@ STATE_CONF = {
 }
 
 
-@contextmanager
-def session_conf(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
-    """Set session options for the duration of a block."""
-    before = {name: spark.conf.get(name, None) for name in conf}
-    try:
-        for name, value in conf.items():
-            spark.conf.set(name, value)
-        yield
-    finally:
-        for name, value in before.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
-                spark.conf.set(name, value)
-
-
 def start_exclusive(spark: SparkSession, writer: DataStreamWriter) -> StreamingQuery:
     """Start a query as the only writer of its checkpoint, with durable state."""
     with session_conf(spark, STATE_CONF):

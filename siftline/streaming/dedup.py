@@ -45,6 +45,9 @@ class FirstPosition(StatefulProcessor):
             "first", "partition int, first_offset bigint, first_seen timestamp", self._ttl_ms
         )
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self._first.update((initialState["partition"], initialState["first_offset"], initialState["first_seen"]))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         known = self._first.get()
         if known is None:
@@ -58,12 +61,16 @@ class FirstPosition(StatefulProcessor):
 
 
 def first_position_stream(
-    records: DataFrame, scope: str = "topic", ttl_seconds: int | None = None
+    records: DataFrame,
+    scope: str = "topic",
+    ttl_seconds: int | None = None,
+    restore: DataFrame | None = None,
 ) -> DataFrame:
     """Per micro-batch, the first position of each key that occurs in it.
 
     ``ttl_seconds`` purges entries that old; it needs processing time, so the
-    query must then run on a timed trigger.
+    query must then run on a timed trigger. ``restore`` is a registry to begin
+    with on a new checkpoint, such as a backup or a rebuilt one.
     """
     keys = identity(scope)
     seen = F.date_trunc("second", F.current_timestamp()).alias("seen")
@@ -77,6 +84,7 @@ def first_position_stream(
         outputStructType=_FIRST,
         outputMode="append",
         timeMode="None" if ttl_seconds is None else "ProcessingTime",
+        initialState=None if restore is None else restore.groupBy(*keys),
     )
 
 
@@ -85,6 +93,7 @@ def dedup_stream(
     scope: str = "topic",
     ttl_seconds: int | None = None,
     on_null_key: str = "reject",
+    restore: DataFrame | None = None,
 ) -> DataFrame:
     """The records, together with the first positions needed to flag them.
 
@@ -92,7 +101,7 @@ def dedup_stream(
     of this stream into flagged records.
     """
     guarded = guard_key(records, on_null_key)
-    firsts = first_position_stream(guarded, scope, ttl_seconds)
+    firsts = first_position_stream(guarded, scope, ttl_seconds, restore)
     rows = guarded.withColumn("first_offset", F.lit(None).cast("bigint"))
     return rows.unionByName(firsts, allowMissingColumns=True)
 
@@ -113,6 +122,7 @@ def start_dedup(
     on_null_key: str = "reject",
     on_kickouts: KickoutHandler | None = None,
     interval: str | None = None,
+    restore: DataFrame | None = None,
 ) -> StreamingQuery:
     """Dedup a stream into committed batches below ``root``.
 
@@ -131,7 +141,7 @@ def start_dedup(
 
     trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
     writer = (
-        dedup_stream(records, scope, ttl_seconds, on_null_key)
+        dedup_stream(records, scope, ttl_seconds, on_null_key, restore)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
