@@ -26,7 +26,9 @@ def parse_events(
     if on_error not in ("reject", "fail"):
         raise ValueError("on_error must be 'reject' or 'fail'")
     event = F.from_json(F.col(value), _PARSED, {"columnNameOfCorruptRecord": "_corrupt_record"})
-    parsed = records.withColumn("_event", event)
+    # As a generated column the event is parsed once; a plain one would be copied
+    # into every filter on its fields.
+    parsed = records.select("*", F.explode(F.array(event)).alias("_event"))
     is_null = F.col(value).isNull() | (F.trim(F.col(value)).isin("", "null"))
     reason = (
         F.when(is_null, "null value")

@@ -30,6 +30,15 @@ def hashed_key(*cols: Column | str) -> Column:
     return F.sha2(F.to_json(F.struct(*named)), 256)
 
 
+def with_key(table: DataFrame, key: Column, name: str = "key") -> DataFrame:
+    """Add a key that is costly to compute, such as the hash of a whole text.
+
+    As a generated column it is computed once per row; a plain one would be
+    computed again in every null check that the optimizer pushes to the scan.
+    """
+    return table.select("*", F.explode(F.array(key)).alias(name))
+
+
 def guard_key(records: DataFrame, on_null_key: str = "reject", key: str = "key") -> DataFrame:
     """Apply the null key policy.
 

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import event_json as ej, events as ev
-from ..functions.keys import hashed_key, plain_key
+from ..functions.keys import hashed_key, plain_key, with_key
 from ..operators import buffer as buf, dedup, registry as reg
 from ..operators.accounting import batch_accounting
 from ..operators.ranking import with_position
@@ -84,9 +84,9 @@ def order_log(spark: SparkSession, d: str) -> DataFrame:
 
 def document_log(spark: SparkSession, d: str) -> DataFrame:
     return to_records(
-        read_table(spark, d, "documents"),
+        with_key(read_table(spark, d, "documents"), hashed_key("text")),
         offset="doc_id",
-        key=hashed_key("text"),
+        key="key",
         value="source",
         lang="lang",
     )
