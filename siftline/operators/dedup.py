@@ -23,19 +23,25 @@ def identity(scope: str) -> list[str]:
     return ["key"] if scope == "topic" else ["partition", "key"]
 
 
-def first_positions(records: DataFrame, scope: str = "topic", seen: str | None = None) -> DataFrame:
-    """``partition, key, first_offset[, first_seen]``: one row per key.
+def first_positions(
+    records: DataFrame, scope: str = "topic", seen: str | None = None, count: str | None = None
+) -> DataFrame:
+    """``partition, key, first_offset[, first_seen][, count]``: one row per key.
 
     In topic scope, positions are ordered by (partition, offset). ``seen`` names
-    the time column to take over from the first record.
+    the time column to take over from the first record, ``count`` a new column
+    for the number of records of the key.
     """
     keys = identity(scope)
     keyed = records.where(F.col("key").isNotNull())
-    if scope == "partition" and seen is None:
+    if scope == "partition" and seen is None and count is None:
         return keyed.groupBy(*keys).agg(F.min("offset").alias("first_offset"))
     place = [c for c in ("partition", "offset") if c not in keys]
     fields = place + ([seen] if seen else [])
-    first = keyed.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_first"))
+    aggs = [F.min(F.struct(*fields)).alias("_first")]
+    if count:
+        aggs.append(F.count(F.lit(1)).alias(count))
+    first = keyed.groupBy(*keys).agg(*aggs)
     columns = [
         F.col("partition") if "partition" in keys else F.col("_first.partition").alias("partition"),
         F.col("key"),
@@ -43,6 +49,8 @@ def first_positions(records: DataFrame, scope: str = "topic", seen: str | None =
     ]
     if seen:
         columns.append(F.col(f"_first.{seen}").alias("first_seen"))
+    if count:
+        columns.append(F.col(count))
     return first.select(*columns)
 
 

@@ -22,7 +22,7 @@ from ..session import scratch_path
 from ..sinks import committed as sink
 from ..sources import batches, positions as pos
 from ..sources.logs import read_table, stream_files, to_records
-from ..streaming import buffer as sbuf, control, dedup as sdedup, monitor
+from ..streaming import buffer as sbuf, control, dedup as sdedup, keyed_state as keyed, monitor
 from .dedup_job import DedupJob
 from .sort_job import sort_log
 
@@ -825,18 +825,14 @@ def _log_stream(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _run_dedup(spark: SparkSession, d: str) -> tuple[str, str, control.StreamingQuery]:
+def _run_dedup(
+    spark: SparkSession, d: str, start: Callable[..., control.StreamingQuery] = sdedup.start_dedup
+) -> tuple[str, str, control.StreamingQuery]:
     root, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-state")
-    query = sdedup.start_dedup(_log_stream(spark, d), root, checkpoint)
-    return root, checkpoint, control.run_to_end(query)
+    return root, checkpoint, control.run_to_end(start(_log_stream(spark, d), root, checkpoint))
 
 
-@register(
-    f"""SELECT "offset", "key", "value", "offset" <> min("offset") OVER (PARTITION BY "key")
-    AS is_duplicate FROM {_LOG}"""
-)
-def d1_stream_classify(spark: SparkSession, d: str) -> DataFrame:
-    root, _, _ = _run_dedup(spark, d)
+def _flagged_output(spark: SparkSession, root: str) -> DataFrame:
     sides = [
         sink.read_output(spark, root, o).withColumn("is_duplicate", F.lit(o == "kickout"))
         for o in ("unique", "kickout")
@@ -844,10 +840,30 @@ def d1_stream_classify(spark: SparkSession, d: str) -> DataFrame:
     return sides[0].unionByName(sides[1]).select("offset", "key", "value", "is_duplicate")
 
 
+_FLAGGED = f"""SELECT "offset", "key", "value", "offset" <> min("offset") OVER (PARTITION BY "key")
+    AS is_duplicate FROM {_LOG}"""
+
+
+@register(_FLAGGED)
+def d1_stream_classify(spark: SparkSession, d: str) -> DataFrame:
+    return _flagged_output(spark, _run_dedup(spark, d)[0])
+
+
+@register(_FLAGGED)
+def d1_stream_classify_keyed_state(spark: SparkSession, d: str) -> DataFrame:
+    return _flagged_output(spark, _run_dedup(spark, d, keyed.start_keyed_dedup)[0])
+
+
+@register(f'SELECT "key", min("offset") AS first_offset FROM {_LOG} GROUP BY 1')
+def d4_stream_registry(spark: SparkSession, d: str) -> DataFrame:
+    root, _, _ = _run_dedup(spark, d)
+    return sink.read_registry(spark, root, sink.last_batch(spark, root)).select("key", "first_offset")
+
+
 @register(f'SELECT "key", min("offset") AS first_offset FROM {_LOG} GROUP BY 1')
 def d5_live_registry(spark: SparkSession, d: str) -> DataFrame:
-    _, checkpoint, _ = _run_dedup(spark, d)
-    return sdedup.live_registry(spark, checkpoint).select("key", "first_offset")
+    _, checkpoint, _ = _run_dedup(spark, d, keyed.start_keyed_dedup)
+    return keyed.live_registry(spark, checkpoint).select("key", "first_offset")
 
 
 @register(

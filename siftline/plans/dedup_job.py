@@ -1,37 +1,30 @@
 """Incremental dedup of a growing log with a durable registry table.
 
-One run takes everything after the committed positions as one batch. Root layout::
-
-    registry/batch_id=N/    entries added by batch N
-    records/batch_id=N/     see siftline.sinks.committed
-    commits/batch_id=N/     the marker, written last
-
-Registry entries count only if their batch has a marker, so an aborted attempt
-leaves nothing behind and the next run repeats the same batch id.
+One run takes everything after the committed positions as one batch; the layout is
+that of :mod:`siftline.sinks.committed`. Registry entries count only if their batch
+has a marker, so an aborted attempt leaves nothing behind and the next run repeats
+the same batch id.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.keys import guard_key
 from ..operators.dedup import flag_records
 from ..operators.registry import new_entries
-from ..schemas import REGISTRY
 from ..sinks.committed import (
     KickoutHandler,
     commit_batch,
     commits,
     committed_positions,
     last_batch,
-    read_or_empty,
     read_output,
+    read_registry,
+    write_entries,
 )
 from ..sources.positions import collect_positions, resume_after
 
-_DELTA = T.StructType([*REGISTRY.fields, T.StructField("batch_id", T.LongType())])
-
-
 class DedupJob:
     """Dedup a log run by run; the state lives in files below ``root``."""
 
@@ -62,15 +55,9 @@ class DedupJob:
         return read_output(self._spark, self._root, outcome)
 
     def registry(self, as_of: int | None = None) -> DataFrame:
-        """All committed entries, or those up to a batch: a restore point.
-
-        Batch ids have no holes, so a filter on the folder name leaves out an
-        aborted attempt.
-        """
+        """All committed entries, or those up to a batch: a restore point."""
         newest = last_batch(self._spark, self._root)
-        upto = newest if as_of is None else min(as_of, newest)
-        entries = read_or_empty(self._spark, f"{self._root}/registry", _DELTA)
-        return entries.where(F.col("batch_id") <= upto).drop("batch_id")
+        return read_registry(self._spark, self._root, newest if as_of is None else min(as_of, newest))
 
     def run(self, log: DataFrame) -> int | None:
         """Process what is new as one batch; its id, or None if there was nothing."""
@@ -83,11 +70,8 @@ class DedupJob:
         known = self.registry()
         seen = F.date_trunc("second", F.current_timestamp()) if self._seen is None else F.col(self._seen)
         stamped = fresh.withColumn("_seen", seen.cast("timestamp"))
-        delta_path = f"{self._root}/registry/batch_id={batch_id}"
-        new_entries(stamped, known, self._scope, "_seen").write.mode("overwrite").parquet(delta_path)
-
-        # Read back, the delta has a known size, by which Spark picks the join.
-        added = self._spark.read.schema(REGISTRY).parquet(delta_path).drop("first_seen")
+        entries = new_entries(stamped, known, self._scope, "_seen")
+        added = write_entries(entries, self._root, batch_id).drop("first_seen")
         replayed = resume_after(
             known.select("partition", "key", F.col("first_offset").alias("offset")), positions
         ).withColumnRenamed("offset", "first_offset")

@@ -2,6 +2,7 @@
 
 Layout below a root folder::
 
+    registry/batch_id=N/                                first-seen entries the batch added
     records/batch_id=N/outcome=unique|kickout|reject/   the flagged records
     commits/batch_id=N/                                 one row per source partition
 
@@ -19,6 +20,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.accounting import batch_accounting
+from ..schemas import REGISTRY
 from ..session import session_conf
 from ..sources.batches import read_committed
 
@@ -37,6 +39,8 @@ COMMIT = T.StructType(
     ]
 )
 
+_ENTRY = T.StructType([*REGISTRY.fields, T.StructField("batch_id", T.LongType())])
+
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The parquet folder, or no rows if nothing was written yet."""
@@ -103,9 +107,12 @@ def commits(spark: SparkSession, root: str) -> DataFrame:
     return read_or_empty(spark, f"{root}/commits", COMMIT)
 
 
-def committed_positions(spark: SparkSession, root: str) -> DataFrame:
-    """Last committed offset per source partition."""
-    return commits(spark, root).groupBy("partition").agg(F.max("committed_offset").alias("offset"))
+def committed_positions(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
+    """Last committed offset per source partition, of all batches or those before an id."""
+    done = commits(spark, root)
+    if before is not None:
+        done = done.where(F.col("batch_id") < before)
+    return done.groupBy("partition").agg(F.max("committed_offset").alias("offset"))
 
 
 def last_batch(spark: SparkSession, root: str) -> int:
@@ -128,6 +135,22 @@ def read_output(spark: SparkSession, root: str, outcome: str = "unique") -> Data
     return read_committed(whole, commits(spark, root))
 
 
+def write_entries(entries: DataFrame, root: str, batch_id: int) -> DataFrame:
+    """Store the registry entries a batch adds; they count once the batch has its marker.
+
+    Read back, they have a known size, by which Spark picks the next join.
+    """
+    path = f"{root}/registry/batch_id={batch_id}"
+    entries.select(*REGISTRY.fieldNames()).write.mode("overwrite").parquet(path)
+    return entries.sparkSession.read.schema(REGISTRY).parquet(path)
+
+
+def read_registry(spark: SparkSession, root: str, upto: int) -> DataFrame:
+    """Entries of all batches up to an id; the folder name leaves out later attempts."""
+    entries = read_or_empty(spark, f"{root}/registry", _ENTRY)
+    return entries.where(F.col("batch_id") <= upto).drop("batch_id")
+
+
 def append_new(rows: DataFrame, path: str, on: list[str]) -> None:
     """Idempotent append: rows whose key the target already holds are left out.
 

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from ..operators.buffer import EVENT_COLUMNS, emit, prepare, sort_flushes
 from ..sinks.committed import write_flushes
-from .control import start_exclusive
+from .control import start_batches
+
+# Send the handlers to the Python workers by value: executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _CHUNK = 10_000
 _ROW = "flush_id bigint, partition int, shard int, sort_key string, offset bigint, " \
@@ -107,25 +112,12 @@ def _start_sorted(
     checkpoint: str,
     flush: str,
     across_lanes: bool,
-    trigger: dict,
+    interval: str | None,
 ) -> StreamingQuery:
-    spark: SparkSession = buffered.sparkSession
-
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            if not batch.isEmpty():
-                write_flushes(emit(sort_flushes(batch, flush, across_lanes), flush), path, flush)
-        finally:
-            batch.unpersist()
-
-    writer = (
-        buffered.writeStream.foreachBatch(write)
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-    )
-    return start_exclusive(spark, writer)
+        write_flushes(emit(sort_flushes(batch, flush, across_lanes), flush), path, flush)
+
+    return start_batches(buffered, write, checkpoint, interval)
 
 
 def start_buffer_sort(
@@ -149,7 +141,7 @@ def start_buffer_sort(
         checkpoint,
         "flush_id",
         across_lanes,
-        {"processingTime": trigger_interval},
+        trigger_interval,
     )
 
 
@@ -181,14 +173,13 @@ def start_window_sort(
     trigger_interval: str | None = None,
 ) -> StreamingQuery:
     """Flush event-time windows; without ``trigger_interval``, read what is there and end."""
-    trigger = {"availableNow": True} if trigger_interval is None else {"processingTime": trigger_interval}
     return _start_sorted(
         window_buffer_stream(events, interval, lateness, ts),
         path,
         checkpoint,
         "flush_start",
         across_lanes,
-        trigger,
+        trigger_interval,
     )
 
 

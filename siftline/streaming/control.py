@@ -25,6 +25,37 @@ def start_exclusive(spark: SparkSession, writer: DataStreamWriter) -> StreamingQ
         return writer.start()
 
 
+def start_batches(
+    rows: DataFrame,
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    interval: str | None = None,
+    output_mode: str = "append",
+) -> StreamingQuery:
+    """Hand each non-empty micro-batch to ``write``; without ``interval``, until the input is used up.
+
+    The batch is kept while it is written, so that its state is computed once
+    however often the rows are used. The count computes all of it in one job.
+    """
+
+    def keep_and_write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            if batch.count() > 0:
+                write(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
+    writer = (
+        rows.writeStream.foreachBatch(keep_and_write)
+        .outputMode(output_mode)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+    )
+    return start_exclusive(rows.sparkSession, writer)
+
+
 def run_to_end(query: StreamingQuery, timeout: float = 600) -> StreamingQuery:
     """Wait for an ``availableNow`` query; stop it and raise when it takes too long."""
     if not query.awaitTermination(int(timeout)):

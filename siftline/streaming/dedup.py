@@ -1,116 +1,77 @@
-"""Streaming dedup with the registry in Spark's state store.
-
-Only ``partition, offset, key`` go through the stateful operator. It answers with
-the first position of each key of the micro-batch, and the full records are then
-flagged by the batch operator, matched on offset, partition and key. So wide rows
-stay in the JVM, and a key that holds a third of the batch neither sends its rows
-through one state handler nor through one join task.
+"""Streaming dedup on Spark's own streaming aggregate and a registry table.
+
+The state holds one number per key: how many records of it were read. A key is
+new in a micro-batch exactly if this number equals its count within the batch.
+New keys get the lowest position in the batch as their first one; it goes to the
+registry table, where it is never changed. Records of known keys are duplicates,
+unless they repeat the very position in the registry. That can only be at or
+below a position committed before, which a log read in order does not deliver
+again, so the table is consulted for such records alone.
+
+Everything runs in the JVM. The aggregate combines before its shuffle, and the
+records are matched on offset, partition and key, so a key that holds a third of
+a batch unbalances neither.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+import operator
 
-import pandas as pd
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
-from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.keys import guard_key
-from ..operators.dedup import flag_records, identity
-from ..sinks.committed import KickoutHandler, commit_batch
-from .control import start_exclusive
-
-_PLACE = "partition int, offset bigint, key string, seen timestamp"
-_FIRST = "partition int, key string, first_offset bigint"
-
-
-def _lowest_by(keys: list[str]):
-    """A combiner that keeps, per chunk of rows, the lowest position of each key."""
-
-    def combine(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for chunk in chunks:
-            yield chunk.sort_values(["partition", "offset"]).drop_duplicates(keys)
-
-    return combine
-
-
-class FirstPosition(StatefulProcessor):
-    """Remembers where a key was first processed; the entry is written once."""
+from ..operators.dedup import first_positions, flag_records, identity
+from ..sinks.committed import (
+    KickoutHandler,
+    commit_batch,
+    committed_positions,
+    read_registry,
+    write_entries,
+)
+from ..sources.positions import collect_positions
+from .control import start_batches
 
-    def __init__(self, ttl_ms: int | None = None):
-        self._ttl_ms = ttl_ms
+_COUNT = "n_seen"
 
-    def init(self, handle) -> None:
-        self._first = handle.getValueState(
-            "first", "partition int, first_offset bigint, first_seen timestamp", self._ttl_ms
-        )
 
-    def handleInitialState(self, key, initialState, timerValues) -> None:
-        self._first.update((initialState["partition"], initialState["first_offset"], initialState["first_seen"]))
+def counted_stream(records: DataFrame, scope: str = "topic", on_null_key: str = "reject") -> DataFrame:
+    """The records, together with the running count of each key that occurs in the batch.
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        known = self._first.get()
-        if known is None:
-            lowest = min(rows, key=lambda r: (r["partition"], r["offset"]))
-            known = (lowest["partition"], lowest["offset"], lowest["seen"])
-            self._first.update(known)
-        yield Row(partition=known[0], key=key[-1], first_offset=known[1])
-
-    def close(self) -> None:
-        pass
-
-
-def first_position_stream(
-    records: DataFrame,
-    scope: str = "topic",
-    ttl_seconds: int | None = None,
-    restore: DataFrame | None = None,
-) -> DataFrame:
-    """Per micro-batch, the first position of each key that occurs in it.
-
-    ``ttl_seconds`` purges entries that old; it needs processing time, so the
-    query must then run on a timed trigger. ``restore`` is a registry to begin
-    with on a new checkpoint, such as a backup or a rebuilt one.
+    ``n_seen`` is null on records. The output mode is update.
     """
     keys = identity(scope)
-    seen = F.date_trunc("second", F.current_timestamp()).alias("seen")
-    places = (
-        records.where(F.col("key").isNotNull())
-        .select("partition", "offset", "key", seen)
-        .mapInPandas(_lowest_by(keys), _PLACE)
-    )
-    return places.groupBy(*keys).transformWithState(
-        FirstPosition(None if ttl_seconds is None else ttl_seconds * 1000),
-        outputStructType=_FIRST,
-        outputMode="append",
-        timeMode="None" if ttl_seconds is None else "ProcessingTime",
-        initialState=None if restore is None else restore.groupBy(*keys),
-    )
-
-
-def dedup_stream(
-    records: DataFrame,
-    scope: str = "topic",
-    ttl_seconds: int | None = None,
-    on_null_key: str = "reject",
-    restore: DataFrame | None = None,
-) -> DataFrame:
-    """The records, together with the first positions needed to flag them.
-
-    ``first_offset`` is null on records. :func:`flag_batch` turns a micro-batch
-    of this stream into flagged records.
-    """
     guarded = guard_key(records, on_null_key)
-    firsts = first_position_stream(guarded, scope, ttl_seconds, restore)
-    rows = guarded.withColumn("first_offset", F.lit(None).cast("bigint"))
-    return rows.unionByName(firsts, allowMissingColumns=True)
+    counts = (
+        guarded.where(F.col("key").isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias(_COUNT))
+    )
+    rows = guarded.withColumn(_COUNT, F.lit(None).cast("bigint"))
+    return rows.unionByName(counts, allowMissingColumns=True)
 
 
-def flag_batch(batch: DataFrame) -> DataFrame:
-    """``is_duplicate`` for the records of one micro-batch of :func:`dedup_stream`."""
-    rows = batch.where(F.col("first_offset").isNull()).drop("first_offset")
-    firsts = batch.where(F.col("first_offset").isNotNull())
-    return flag_records(rows, firsts)
+def new_keys(batch: DataFrame, scope: str = "topic") -> DataFrame:
+    """Registry entries of the keys that a micro-batch of :func:`counted_stream` has first."""
+    rows = batch.where(F.col(_COUNT).isNull()).withColumn(
+        "_seen", F.date_trunc("second", F.current_timestamp())
+    )
+    counts = batch.where(F.col(_COUNT).isNotNull()).select(*identity(scope), _COUNT)
+    firsts = first_positions(rows, scope, "_seen", "_n")
+    return firsts.join(counts, identity(scope)).where(F.col("_n") == F.col(_COUNT)).drop("_n", _COUNT)
+
+
+def replayed_keys(rows: DataFrame, known: DataFrame, committed: dict[int, int]) -> DataFrame | None:
+    """Entries whose very position is delivered again; None if nothing old is delivered."""
+    if not committed:
+        return None
+    old = functools.reduce(
+        operator.or_,
+        [(F.col("partition") == p) & (F.col("offset") <= o) for p, o in committed.items()],
+    )
+    again = rows.where(old).select(F.col("offset").alias("first_offset"), "partition", "key")
+    if again.isEmpty():
+        return None
+    return known.join(again, ["first_offset", "partition", "key"], "left_semi")
 
 
 def start_dedup(
@@ -118,48 +79,28 @@ def start_dedup(
     root: str,
     checkpoint: str,
     scope: str = "topic",
-    ttl_seconds: int | None = None,
     on_null_key: str = "reject",
     on_kickouts: KickoutHandler | None = None,
     interval: str | None = None,
-    restore: DataFrame | None = None,
 ) -> StreamingQuery:
-    """Dedup a stream into committed batches below ``root``.
+    """Dedup a stream into committed batches and a registry below ``root``.
 
     Without ``interval`` the query reads what is there and ends. A batch that
-    fails is replayed by Spark under the same id and rows.
+    fails is replayed by Spark under the same id and rows, with the counts as
+    they were before it.
     """
-    spark: SparkSession = records.sparkSession
+    spark = records.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            if not batch.isEmpty():
-                commit_batch(flag_batch(batch), root, batch_id, on_kickouts)
-        finally:
-            batch.unpersist()
-
-    trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
-    writer = (
-        dedup_stream(records, scope, ttl_seconds, on_null_key, restore)
-        .writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-    )
-    return start_exclusive(spark, writer)
-
-
-def live_registry(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
-    """The registry in a query's state, now or as of a batch: look-up and backup.
-
-    The columns are those of the table form.
-    """
-    reader = spark.read.format("statestore").option("stateVarName", "first")
-    if batch_id is not None:
-        reader = reader.option("batchId", batch_id)
-    return reader.load(checkpoint).select(
-        "value.partition",
-        "key.key",
-        "value.first_offset",
-        "value.first_seen",
+        rows = batch.where(F.col(_COUNT).isNull()).drop(_COUNT)
+        firsts = write_entries(new_keys(batch, scope), root, batch_id).drop("first_seen")
+        committed = collect_positions(committed_positions(spark, root, before=batch_id))
+        known = read_registry(spark, root, batch_id - 1).drop("first_seen")
+        again = replayed_keys(rows, known, committed)
+        if again is not None:
+            firsts = firsts.unionByName(again)
+        commit_batch(flag_records(rows, firsts), root, batch_id, on_kickouts)
+
+    return start_batches(
+        counted_stream(records, scope, on_null_key), write, checkpoint, interval, output_mode="update"
     )

@@ -14,7 +14,7 @@ from siftline.operators import buffer as buf, registry as reg
 from siftline.schemas import RECORD
 from siftline.sinks import committed as sink
 from siftline.sources import logs
-from siftline.streaming import buffer as sbuf, control, dedup as sdedup, monitor
+from siftline.streaming import buffer as sbuf, control, dedup as sdedup, keyed_state as keyed, monitor
 
 EVENT_ROW = "partition int, offset bigint, eventType string, id string, payload string, ts timestamp"
 
@@ -49,8 +49,21 @@ def paths(tmp_path):
     return str(tmp_path / "out"), str(tmp_path / "state")
 
 
-def run(folder, paths, **kwargs):
-    return control.run_to_end(sdedup.start_dedup(folder.stream(), *paths, **kwargs), 120)
+FORMS = {"counts": sdedup.start_dedup, "keyed": keyed.start_keyed_dedup}
+
+
+@pytest.fixture(params=FORMS)
+def run(request):
+    """Run a stream to its end in each of the two forms."""
+
+    def go(folder, paths, max_files=1, **kwargs):
+        return control.run_to_end(FORMS[request.param](folder.stream(max_files), *paths, **kwargs), 120)
+
+    return go
+
+
+def run_keyed(folder, paths, **kwargs):
+    return control.run_to_end(keyed.start_keyed_dedup(folder.stream(), *paths, **kwargs), 120)
 
 
 def result(spark, root):
@@ -61,15 +74,15 @@ def result(spark, root):
     return out
 
 
-def test_lowest_offset_wins_inside_a_batch(spark, folder, paths):
+def test_lowest_offset_wins_inside_a_batch(spark, run, folder, paths):
     for low in (60, 40, 20, 0):
         folder.add(*[(0, o, f"k{o % 3}", str(o)) for o in range(low, low + 20)])
-    control.run_to_end(sdedup.start_dedup(folder.stream(max_files=None), *paths), 120)
+    run(folder, paths, max_files=None)
     assert result(spark, paths[0])["unique"] == [(0, "0"), (1, "1"), (2, "2")]
     assert len(result(spark, paths[0])["kickout"]) == 77
 
 
-def test_late_lower_offset_and_replay_after_restart(spark, folder, paths):
+def test_late_lower_offset_and_replay_after_restart(spark, run, folder, paths):
     folder.add((0, 5, "k", "five"), (0, 7, "k", "seven"))
     run(folder, paths)
     folder.add((0, 3, "k", "three"), (0, 5, "k", "five again"), (0, 8, None, "none"))
@@ -77,11 +90,44 @@ def test_late_lower_offset_and_replay_after_restart(spark, folder, paths):
     assert result(spark, paths[0]) == {
         "unique": [(5, "five"), (5, "five again")], "kickout": [(3, "three"), (7, "seven")], "reject": [(8, "none")],
     }
-    live = sdedup.live_registry(spark, paths[1])
-    assert [(r["key"], r["first_offset"]) for r in live.collect()] == [("k", 5)]
 
 
-def test_stream_agrees_with_the_model_over_many_batches(spark, folder, paths):
+def test_registry_of_a_stream(spark, folder, paths):
+    folder.add((0, 5, "k", "five"), (1, 2, "m", "two"))
+    folder.add((0, 3, "k", "three"), (0, 6, "n", "six"))
+    for start, state in ((sdedup.start_dedup, paths[1]), (keyed.start_keyed_dedup, f"{paths[1]}-keyed")):
+        control.run_to_end(start(folder.stream(), f"{state}-out", state), 120)
+    table = sink.read_registry(spark, f"{paths[1]}-out", upto=1)
+    live = keyed.live_registry(spark, f"{paths[1]}-keyed")
+    for registry in (table, live):
+        got = sorted((r["key"], r["partition"], r["first_offset"]) for r in registry.collect())
+        assert got == [("k", 0, 5), ("m", 1, 2), ("n", 0, 6)]
+        assert registry.where("first_seen > current_timestamp() - interval 1 hour").count() == 3
+    assert sink.read_registry(spark, f"{paths[1]}-out", upto=0).count() == 2
+
+
+def test_crash_between_marker_and_checkpoint(spark, folder, paths, monkeypatch):
+    """The batch is visible already when Spark runs it again."""
+    folder.add((0, 0, "1", "1"), (0, 1, "2", "2"))
+    folder.add((0, 2, "1", "1"), (0, 3, "3", "3"))
+    real = sdedup.commit_batch
+
+    def crash_after(flagged, root, batch_id, handler):
+        real(flagged, root, batch_id, handler)
+        if batch_id == 1:
+            raise RuntimeError("crash")
+
+    monkeypatch.setattr(sdedup, "commit_batch", crash_after)
+    with pytest.raises(StreamingQueryException, match="crash"):
+        control.run_to_end(sdedup.start_dedup(folder.stream(), *paths), 120)
+    monkeypatch.setattr(sdedup, "commit_batch", real)
+    want = {"unique": [(0, "1"), (1, "2"), (3, "3")], "kickout": [(2, "1")], "reject": []}
+    assert result(spark, paths[0]) == want
+    control.run_to_end(sdedup.start_dedup(folder.stream(), *paths), 120)
+    assert result(spark, paths[0]) == want
+
+
+def test_stream_agrees_with_the_model_over_many_batches(spark, run, folder, paths):
     rows = [(o % 2, o, f"k{(o * o) % 11}") for o in range(60)]
     known, want = {}, {}
     for start in range(0, 60, 15):
@@ -93,13 +139,13 @@ def test_stream_agrees_with_the_model_over_many_batches(spark, folder, paths):
                 want.setdefault(scope, {})[r[1]] = flag
     for scope in ("topic", "partition"):
         root, state = f"{paths[0]}-{scope}", f"{paths[1]}-{scope}"
-        control.run_to_end(sdedup.start_dedup(folder.stream(), root, state, scope=scope), 120)
+        run(folder, (root, state), scope=scope)
         got = result(spark, root)
         flags = {o: False for o, _ in got["unique"]} | {o: True for o, _ in got["kickout"]}
         assert flags == want[scope]
 
 
-def test_failed_batch_is_replayed(spark, folder, paths):
+def test_failed_batch_is_replayed(spark, run, folder, paths):
     folder.add((0, 0, "1", "1"), (0, 1, "2", "2"))
     folder.add((0, 2, "1", "1"), (0, 3, "3", "3"))
     reported = []
@@ -120,7 +166,7 @@ def test_failed_batch_is_replayed(spark, folder, paths):
     ]
 
 
-def test_a_batch_without_rows_commits_nothing(spark, folder, paths):
+def test_a_batch_without_rows_commits_nothing(spark, run, folder, paths):
     folder.add((0, 0, "a", "a"))
     spark.createDataFrame([], RECORD).coalesce(1).write.mode("append").parquet(folder.path)
     time.sleep(0.01)
@@ -130,7 +176,7 @@ def test_a_batch_without_rows_commits_nothing(spark, folder, paths):
     assert result(spark, paths[0])["unique"] == [(0, "a"), (1, "b")]
 
 
-def test_restart_with_nothing_new(spark, folder, paths):
+def test_restart_with_nothing_new(spark, run, folder, paths):
     folder.add((0, 0, "1", "1"), (0, 1, "2", "2"))
     run(folder, paths)
     run(folder, paths)
@@ -141,7 +187,7 @@ def test_restart_with_nothing_new(spark, folder, paths):
     assert [r["value"] for r in newest.collect()] == ["3"]
 
 
-def test_null_key_can_fail_the_stream(folder, paths):
+def test_null_key_can_fail_the_stream(run, folder, paths):
     folder.add((0, 0, None, "x"))
     with pytest.raises(StreamingQueryException, match="record without a key"):
         run(folder, paths, on_null_key="fail")
@@ -150,16 +196,16 @@ def test_null_key_can_fail_the_stream(folder, paths):
 def test_backup_as_of_a_batch_and_restore(spark, folder, paths, tmp_path):
     folder.add((0, 0, "a", "a"), (0, 1, "b", "b"))
     folder.add((0, 2, "c", "c"))
-    run(folder, paths)
+    run_keyed(folder, paths)
     saved = str(tmp_path / "saved")
-    reg.backup(sdedup.live_registry(spark, paths[1], batch_id=0), saved, 0)
+    reg.backup(keyed.live_registry(spark, paths[1], batch_id=0), saved, 0)
     backup = reg.restore(spark, saved, 0)
     assert sorted(r["key"] for r in backup.collect()) == ["a", "b"]
 
     later = Folder(spark, str(tmp_path / "later"), RECORD)
     later.add((0, 1, "b", "same"), (0, 7, "a", "again"), (0, 8, "c", "new"))
     fresh = f"{paths[0]}-2", f"{paths[1]}-2"
-    run(later, fresh, restore=backup)
+    run_keyed(later, fresh, restore=backup)
     assert result(spark, fresh[0]) == {"unique": [(1, "same"), (8, "new")], "kickout": [(7, "again")], "reject": []}
 
 
@@ -176,7 +222,7 @@ def test_only_one_writer_per_state(folder, paths):
 
 def test_purged_key_is_new_again(spark, folder, paths):
     folder.add((0, 0, "a", "first"), (0, 1, "a", "dup"))
-    query = sdedup.start_dedup(folder.stream(), *paths, ttl_seconds=2, interval="500 milliseconds")
+    query = keyed.start_keyed_dedup(folder.stream(), *paths, ttl_seconds=2, interval="500 milliseconds")
 
     def committed(n):
         return sink.commits(spark, paths[0]).count() >= n
@@ -292,7 +338,7 @@ def test_commit_log_state_report_and_console(spark, folder, paths, tmp_path):
     logged = spark.read.parquet(target).where("input_rows > 0").orderBy("batch_id").collect()
     assert [(r["name"], r["batch_id"], r["input_rows"]) for r in logged] == [(name, 0, 2), (name, 1, 1)]
 
-    query = run(folder, (f"{paths[0]}-d", f"{paths[1]}-d"))
+    query = run_keyed(folder, (f"{paths[0]}-d", f"{paths[1]}-d"))
     report = monitor.state_report(spark, query).orderBy("batch_id").collect()
     assert [r["state_rows"] for r in report] == [2, 2] and all(r["partitions"] == 4 for r in report)
 
