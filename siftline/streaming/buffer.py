@@ -76,6 +76,17 @@ class EventBuffer(StatefulProcessor):
         pass
 
 
+def _with_clock(rows: DataFrame) -> DataFrame:
+    """Add a source that always has news and never a row.
+
+    Timers fire only when a micro-batch runs. After a restart without new events
+    none would, and what was buffered before would stay there.
+    """
+    clock = rows.sparkSession.readStream.format("rate").option("rowsPerSecond", 1).load()
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields]
+    return rows.unionByName(clock.where(F.lit(False)).select(*nothing))
+
+
 def buffer_stream(events: DataFrame, interval_seconds: float = 2.0, shards: int | None = None) -> DataFrame:
     """Buffered events, emitted unsorted once the wall-clock tick they arrived in is over.
 
@@ -98,7 +109,7 @@ def buffer_stream(events: DataFrame, interval_seconds: float = 2.0, shards: int
         )
         .mapInPandas(_latest, _ROW)
     )
-    return rows.groupBy("flush_id", "partition", "shard").transformWithStateInPandas(
+    return _with_clock(rows).groupBy("flush_id", "partition", "shard").transformWithStateInPandas(
         EventBuffer(interval_ms),
         outputStructType=_FLUSHED,
         outputMode="append",
@@ -194,8 +205,6 @@ def live_buffer(spark: SparkSession, checkpoint: str, batch_id: int | None = Non
 
 
 def drained(query: StreamingQuery) -> bool:
-    """Whether the query has read something and holds nothing back any more."""
-    progress = query.recentProgress
-    if not any(p.numInputRows for p in progress):
-        return False
-    return not progress[-1].numInputRows and all(s.numRowsTotal == 0 for s in progress[-1].stateOperators)
+    """Whether the query has lately buffered something and holds nothing back any more."""
+    held = [s.numRowsTotal for p in query.recentProgress for s in p.stateOperators]
+    return any(held) and held[-1] == 0
