@@ -866,22 +866,36 @@ def d5_live_registry(spark: SparkSession, d: str) -> DataFrame:
     return keyed.live_registry(spark, checkpoint).select("key", "first_offset")
 
 
-@register(
-    f"""SELECT "eventType", id, payload, row_number() OVER (ORDER BY sort_key) AS pos FROM
+_ALL_IN_ONE = """SELECT "eventType", id, payload, row_number() OVER (ORDER BY sort_key) AS pos FROM
     (SELECT event_type AS "eventType", CAST(user_id AS VARCHAR) AS id, event_type || ' ' || user_id
     AS sort_key, arg_max(upper(props), event_id) AS payload FROM events GROUP BY 1, 2, 3)"""
-)
-def b2_stream_wall_clock_flush(spark: SparkSession, d: str) -> DataFrame:
-    """The table arrives as one file, so all of it lands in one wall-clock flush."""
-    path, checkpoint = scratch_path(spark, "flush"), scratch_path(spark, "flush-state")
-    rows = _event_stream(spark, d).select(
+
+
+def _event_row_stream(spark: SparkSession, d: str) -> DataFrame:
+    return _event_stream(spark, d).select(
         F.lit(0).alias("partition"),
         F.col("event_id").alias("offset"),
         F.col("event_type").alias("eventType"),
         F.col("user_id").cast("string").alias("id"),
         F.col("props").alias("payload"),
+        F.col("ts").cast("timestamp").alias("ts"),
     )
-    query = sbuf.start_buffer_sort(rows, path, checkpoint, interval_seconds=2)
+
+
+@register(_ALL_IN_ONE)
+def b2_stream_trigger_flush(spark: SparkSession, d: str) -> DataFrame:
+    """The table arrives as one file, so all of it lands in one flush."""
+    path, checkpoint = scratch_path(spark, "trigger"), scratch_path(spark, "trigger-state")
+    rows = _event_row_stream(spark, d).drop("ts")
+    control.run_to_end(sbuf.start_trigger_sort(rows, path, checkpoint, interval=None))
+    return sink.read_flushes(spark, path).select(*buf.EVENT_COLUMNS, "pos")
+
+
+@register(_ALL_IN_ONE)
+def b2_stream_wall_clock_flush(spark: SparkSession, d: str) -> DataFrame:
+    """The same through the stateful buffer and its timer."""
+    path, checkpoint = scratch_path(spark, "flush"), scratch_path(spark, "flush-state")
+    query = sbuf.start_buffer_sort(_event_row_stream(spark, d).drop("ts"), path, checkpoint, interval_seconds=2)
     control.run_until(query, lambda: sbuf.drained(query), timeout=600)
     return sink.read_flushes(spark, path).select(*buf.EVENT_COLUMNS, "pos")
 
@@ -894,15 +908,7 @@ def b2_stream_wall_clock_flush(spark: SparkSession, d: str) -> DataFrame:
 def b7_stream_event_time_flush(spark: SparkSession, d: str) -> DataFrame:
     """Hourly windows up to the watermark; the last one stays open."""
     path, checkpoint = scratch_path(spark, "window"), scratch_path(spark, "window-state")
-    rows = _event_stream(spark, d).select(
-        F.lit(0).alias("partition"),
-        F.col("event_id").alias("offset"),
-        F.col("event_type").alias("eventType"),
-        F.col("user_id").cast("string").alias("id"),
-        F.col("props").alias("payload"),
-        F.col("ts").cast("timestamp").alias("ts"),
-    )
-    control.run_to_end(sbuf.start_window_sort(rows, path, checkpoint, "1 hour"))
+    control.run_to_end(sbuf.start_window_sort(_event_row_stream(spark, d), path, checkpoint, "1 hour"))
     start = F.col("flush_start").cast("timestamp").cast("timestamp_ntz")
     return sink.read_flushes(spark, path, "flush_start").select(
         start.alias("flush_id"), *buf.EVENT_COLUMNS, "pos"

@@ -1,4 +1,9 @@
-"""Streaming buffer and sort, on wall clock and on event time."""
+"""Streaming buffer and sort.
+
+Three ways to hold a buffer: the micro-batch itself (:func:`start_trigger_sort`),
+keyed state with wall-clock timers (:func:`start_buffer_sort`), and event-time
+windows (:func:`start_window_sort`). The first and the last run in the JVM alone.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +15,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
-from ..operators.buffer import EVENT_COLUMNS, emit, prepare, sort_flushes
+from ..operators.buffer import EVENT_COLUMNS, buffer_and_sort, emit, prepare, sort_flushes
 from ..sinks.committed import write_flushes
 from .control import start_batches
 
@@ -131,6 +136,28 @@ def _start_sorted(
     return start_batches(buffered, write, checkpoint, interval)
 
 
+def start_trigger_sort(
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    interval: str | None = "2 seconds",
+    across_lanes: bool = False,
+) -> StreamingQuery:
+    """Flush on a wall-clock trigger, with the micro-batch as the buffer.
+
+    What arrived since the last trigger is one flush, numbered by the batch id.
+    The source holds the buffer, so there is no state to keep or to restore, a
+    crashed flush is read again as it was, and everything runs in the JVM: the
+    form for large volumes. Without ``interval``, read what is there and end.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.withColumn("flush_id", F.lit(batch_id).cast("bigint"))
+        write_flushes(buffer_and_sort(rows, across_lanes=across_lanes), path)
+
+    return start_batches(events, write, checkpoint, interval)
+
+
 def start_buffer_sort(
     events: DataFrame,
     path: str,
@@ -140,9 +167,10 @@ def start_buffer_sort(
     across_lanes: bool = False,
     trigger_interval: str = "1 second",
 ) -> StreamingQuery:
-    """Flush on a wall-clock interval; each flush goes to its own folder, sorted.
+    """Flush a stateful buffer on a wall-clock interval; each flush goes to its own folder, sorted.
 
-    The query runs until it is stopped. A flush leaves the state in the same
+    Unlike :func:`start_trigger_sort` it can be looked into while it fills, and
+    several micro-batches share a flush. The query runs until it is stopped. A flush leaves the state in the same
     micro-batch that writes it, so a crash in between replays that batch and
     writes the same folder again.
     """

@@ -276,6 +276,26 @@ def test_wall_clock_flushes(spark, event_folder, paths):
     ]
 
 
+def test_trigger_flushes_and_crash(spark, event_folder, paths, monkeypatch):
+    event_folder.add(event(0, "C", "1", "c"), event(1, "A", "1", "a"), event(2, "C", "1", "c2"))
+    event_folder.add(event(3, "B", "1", "b"), event(4, "A", "1", "a2", partition=1))
+    real = sbuf.write_flushes
+
+    def crash_after(emitted, path):
+        real(emitted, path)
+        raise RuntimeError("crash")
+
+    start = lambda: sbuf.start_trigger_sort(event_folder.stream(), *paths, interval=None, across_lanes=True)
+    monkeypatch.setattr(sbuf, "write_flushes", crash_after)
+    with pytest.raises(StreamingQueryException, match="crash"):
+        control.run_to_end(start(), 120)
+    monkeypatch.setattr(sbuf, "write_flushes", real)
+    control.run_to_end(start(), 120)
+    assert flushes(spark, paths[0]) == [
+        [(1, None, "A", "A"), (2, None, "C", "C2")], [(1, None, "A", "A2"), (2, None, "B", "B")],
+    ]
+
+
 def test_buffer_survives_a_restart_and_can_be_looked_into(spark, event_folder, paths):
     event_folder.add(event(0, "C", "1", "c"), event(1, "A", "1", "a"))
     start = lambda: sbuf.start_buffer_sort(
