@@ -297,11 +297,13 @@ def test_trigger_flushes_and_crash(spark, event_folder, paths, monkeypatch):
 
 
 def test_buffer_survives_a_restart_and_can_be_looked_into(spark, event_folder, paths):
-    event_folder.add(event(0, "C", "1", "c"), event(1, "A", "1", "a"))
+    interval = 15
     start = lambda: sbuf.start_buffer_sort(
-        event_folder.stream(), *paths, interval_seconds=12, trigger_interval="200 milliseconds"
+        event_folder.stream(), *paths, interval_seconds=interval, trigger_interval="200 milliseconds"
     )
     query = start()
+    wait(lambda: time.time() % interval < 1, query)  # a whole tick is left
+    event_folder.add(event(0, "C", "1", "c"), event(1, "A", "1", "a"))
     wait(lambda: any(s.numRowsTotal for p in query.recentProgress for s in p.stateOperators), query)
     time.sleep(1)  # let the batch commit, so that the restart finds nothing to repeat
     query.stop()
