@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..session import settle
 
-# Up to this many (group, block) rows are broadcast; each has a few narrow columns.
-BROADCAST_ROWS = 200_000
+# The table of block starts is broadcast up to this size.
+BROADCAST_BYTES = 32 << 20
 
 
 def with_position(
@@ -24,7 +24,7 @@ def with_position(
     group lie in earlier blocks. The rows must be unique by group and order.
 
     The checkpoint keeps the block numbers the same for both uses of the rows.
-    The small table is broadcast if its counted size allows; otherwise both sides
+    The small table is broadcast if its measured size allows; otherwise both sides
     are shuffled by (block, group), which a large group does not unbalance.
     """
     if not groups:
@@ -46,7 +46,7 @@ def with_position(
             (F.col("_low") - F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - 1).alias("_base"),
         )
     )
-    if starts.count() <= BROADCAST_ROWS:
+    if _bytes(starts) <= BROADCAST_BYTES:
         starts = F.broadcast(starts)
     same = F.col("_block") == F.col("_b")
     for g in groups:
@@ -54,3 +54,9 @@ def with_position(
     return numbered.join(starts, same).select(
         *df.columns, (F.col("_row") - F.col("_base")).alias(name)
     )
+
+
+def _bytes(table: DataFrame) -> int:
+    """Size of all values as text plus an allowance per row."""
+    row = F.length(F.concat_ws("", *[F.col(c).cast("string") for c in table.columns])) + 64
+    return table.agg(F.sum(row)).first()[0] or 0

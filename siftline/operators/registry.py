@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..sources.positions import resume_after
+from ..sources.positions import resume_after, up_to
 from .dedup import first_positions, flag_records, identity
 from .joins import join_skewed
 
@@ -68,10 +68,7 @@ def rebuild(
 
     This equals the lost registry if each partition was read in offset order.
     """
-    consumed = F.lit(False)
-    for part, offset in committed.items():
-        consumed = consumed | ((F.col("partition") == part) & (F.col("offset") <= offset))
-    return build_registry(log.where(consumed), scope, seen)
+    return build_registry(up_to(log, committed), scope, seen)
 
 
 def check_rebuild(log: DataFrame, registry: DataFrame, output: DataFrame) -> DataFrame:

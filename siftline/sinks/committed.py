@@ -23,6 +23,7 @@ from ..operators.accounting import batch_accounting
 from ..schemas import REGISTRY
 from ..session import session_conf
 from ..sources.batches import read_committed
+from ..sources.positions import collect_positions
 
 KickoutHandler = Callable[[DataFrame, int], None]
 
@@ -54,8 +55,10 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 def commit_batch(
     flagged: DataFrame, root: str, batch_id: int, on_kickouts: KickoutHandler | None = None
-) -> bool:
-    """Write one flagged batch and then its marker; false for an empty batch.
+) -> dict[int, int]:
+    """Write one flagged batch and then its marker; an empty batch gets none.
+
+    Returns the position reached in each source partition.
 
     The rows are computed and written once, split by outcome. Counts and
     positions come from re-reading two narrow columns of what was written. If
@@ -90,8 +93,9 @@ def commit_batch(
         .persist()
     )
     try:
-        if counts.isEmpty():
-            return False
+        reached = collect_positions(counts.withColumnRenamed("committed_offset", "offset"))
+        if not reached:
+            return reached
         if on_kickouts is not None:
             on_kickouts(written.where("outcome = 'kickout'").drop("outcome"), batch_id)
         elapsed = F.lit(int((time.monotonic() - started) * 1000)).cast("bigint")
@@ -99,7 +103,7 @@ def commit_batch(
         marker.write.mode("overwrite").parquet(f"{root}/commits/batch_id={batch_id}")
     finally:
         counts.unpersist()
-    return True
+    return reached
 
 
 def commits(spark: SparkSession, root: str) -> DataFrame:

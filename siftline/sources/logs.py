@@ -54,11 +54,11 @@ def kafka_options(
     servers: str,
     topic: str,
     starting: str = "earliest",
-    max_records: int | None = 1000,
+    max_records: int | None = None,
     committed_only: bool = True,
     fail_on_data_loss: bool = True,
 ) -> dict[str, str]:
-    """Options of Spark's Kafka source for the same log."""
+    """Options of Spark's Kafka source; ``max_records`` bounds a micro-batch."""
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,

@@ -43,22 +43,29 @@ def starting_offsets_json(topic: str, positions: dict[int, int]) -> str:
     return json.dumps({topic: {str(p): o for p, o in sorted(positions.items())}})
 
 
-def _from(positions: dict[int, int]) -> Column:
-    """Rows at or after each partition's position; other partitions in full."""
-    if not positions:
-        return F.lit(True)
-    listed = F.col("partition").isin(*positions)
-    if len(positions) <= _LITERAL_FILTERS:
-        ranges = [(F.col("partition") == p) & (F.col("offset") >= o) for p, o in positions.items()]
-        return functools.reduce(operator.or_, ranges, ~listed)
-    lookup = F.create_map(*[F.lit(x).cast("bigint") for kv in positions.items() for x in kv])
-    start = lookup[F.col("partition").cast("bigint")]
-    return start.isNull() | (F.col("offset") >= start)
+def _looked_up(positions: dict[int, int]) -> Column:
+    """The position of the row's partition; null for other partitions."""
+    pairs = [F.lit(x).cast("bigint") for kv in positions.items() for x in kv]
+    return F.create_map(*pairs)[F.col("partition").cast("bigint")]
 
 
 def replay_from(records: DataFrame, positions: dict[int, int]) -> DataFrame:
-    """All records at or after the chosen offsets."""
-    return records.where(_from(positions))
+    """All records at or after the chosen offsets; other partitions in full."""
+    if not positions:
+        return records
+    if len(positions) > _LITERAL_FILTERS:
+        start = _looked_up(positions)
+        return records.where(start.isNull() | (F.col("offset") >= start))
+    ranges = [(F.col("partition") == p) & (F.col("offset") >= o) for p, o in positions.items()]
+    return records.where(functools.reduce(operator.or_, ranges, ~F.col("partition").isin(*positions)))
+
+
+def up_to(records: DataFrame, positions: dict[int, int]) -> DataFrame:
+    """All records at or before the positions; nothing of other partitions."""
+    if len(positions) > _LITERAL_FILTERS:
+        return records.where(F.col("offset") <= _looked_up(positions))
+    ranges = [(F.col("partition") == p) & (F.col("offset") <= o) for p, o in positions.items()]
+    return records.where(functools.reduce(operator.or_, ranges, F.lit(False)))
 
 
 def resume_after(records: DataFrame, committed: dict[int, int]) -> DataFrame:

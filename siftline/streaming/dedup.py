@@ -15,9 +15,6 @@ a batch unbalances neither.
 
 from __future__ import annotations
 
-import functools
-import operator
-
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -30,7 +27,7 @@ from ..sinks.committed import (
     read_registry,
     write_entries,
 )
-from ..sources.positions import collect_positions
+from ..sources.positions import collect_positions, up_to
 from .control import start_batches
 
 _COUNT = "n_seen"
@@ -60,18 +57,12 @@ def new_keys(batch: DataFrame, scope: str = "topic") -> DataFrame:
     return firsts.join(counts, identity(scope)).where(F.col("_n") == F.col(_COUNT)).drop("_n", _COUNT)
 
 
-def replayed_keys(rows: DataFrame, known: DataFrame, committed: dict[int, int]) -> DataFrame | None:
-    """Entries whose very position is delivered again; None if nothing old is delivered."""
+def delivered_again(rows: DataFrame, committed: dict[int, int]) -> DataFrame | None:
+    """Positions that were committed before; None, the usual case, if there are none."""
     if not committed:
         return None
-    old = functools.reduce(
-        operator.or_,
-        [(F.col("partition") == p) & (F.col("offset") <= o) for p, o in committed.items()],
-    )
-    again = rows.where(old).select(F.col("offset").alias("first_offset"), "partition", "key")
-    if again.isEmpty():
-        return None
-    return known.join(again, ["first_offset", "partition", "key"], "left_semi")
+    old = up_to(rows, committed).select(F.col("offset").alias("first_offset"), "partition", "key")
+    return None if old.isEmpty() else old
 
 
 def start_dedup(
@@ -90,16 +81,20 @@ def start_dedup(
     they were before it.
     """
     spark = records.sparkSession
+    committed: dict[int, int] | None = None
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        nonlocal committed
+        if committed is None:
+            committed = collect_positions(committed_positions(spark, root, before=batch_id))
         rows = batch.where(F.col(_COUNT).isNull()).drop(_COUNT)
         firsts = write_entries(new_keys(batch, scope), root, batch_id).drop("first_seen")
-        committed = collect_positions(committed_positions(spark, root, before=batch_id))
-        known = read_registry(spark, root, batch_id - 1).drop("first_seen")
-        again = replayed_keys(rows, known, committed)
+        again = delivered_again(rows, committed)
         if again is not None:
-            firsts = firsts.unionByName(again)
-        commit_batch(flag_records(rows, firsts), root, batch_id, on_kickouts)
+            known = read_registry(spark, root, batch_id - 1).drop("first_seen")
+            firsts = firsts.unionByName(known.join(again, ["first_offset", "partition", "key"], "left_semi"))
+        reached = commit_batch(flag_records(rows, firsts), root, batch_id, on_kickouts)
+        committed |= {p: max(o, committed.get(p, o)) for p, o in reached.items()}
 
     return start_batches(
         counted_stream(records, scope, on_null_key), write, checkpoint, interval, output_mode="update"

@@ -53,6 +53,9 @@ def test_many_partitions_use_a_lookup(log):
     starts = {p: 1 + p % 2 for p in range(79)}
     want = sorted((p, o) for p in range(80) for o in (1, 2) if o >= starts.get(p, 0))
     assert offsets(pos.replay_from(records, starts)) == want
+    want = sorted((p, o) for p in range(79) for o in (1, 2) if o <= starts[p])
+    assert offsets(pos.up_to(records, starts)) == want
+    assert offsets(pos.up_to(records, {3: 1})) == [(3, 1)] and offsets(pos.up_to(records, {})) == []
 
 
 def test_position_filter_reaches_the_scan(spark, log, tmp_path):
@@ -104,7 +107,7 @@ def test_only_committed_batches_are_read(spark, log):
 
 
 def test_kafka_options_carry_the_log_settings():
-    options = logs.kafka_options("host:9092", "events")
+    options = logs.kafka_options("host:9092", "events", max_records=1000)
     assert options["startingOffsets"] == "earliest"
     assert options["kafka.isolation.level"] == "read_committed"
     assert options["maxOffsetsPerTrigger"] == "1000"

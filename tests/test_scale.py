@@ -116,12 +116,12 @@ def test_one_large_flush_is_sorted_by_many_tasks(spark, tmp_path):
 def test_block_starts_are_broadcast_only_when_small(spark, hot_log):
     places = hot_log.select("partition", "offset")
     assert "BroadcastHashJoin" in plan(ranking.with_position(places, ["partition"], ["offset"]))
-    limit, ranking.BROADCAST_ROWS = ranking.BROADCAST_ROWS, 0
+    limit, ranking.BROADCAST_BYTES = ranking.BROADCAST_BYTES, 0
     try:
         with session_conf(spark, NO_BROADCAST):
             assert "SortMergeJoin" in plan(ranking.with_position(places, ["partition"], ["offset"]))
     finally:
-        ranking.BROADCAST_ROWS = limit
+        ranking.BROADCAST_BYTES = limit
 
 
 def test_bucketed_registry_is_not_shuffled(spark, hot_log):

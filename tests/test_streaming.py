@@ -114,9 +114,10 @@ def test_crash_between_marker_and_checkpoint(spark, folder, paths, monkeypatch):
     real = sdedup.commit_batch
 
     def crash_after(flagged, root, batch_id, handler):
-        real(flagged, root, batch_id, handler)
+        reached = real(flagged, root, batch_id, handler)
         if batch_id == 1:
             raise RuntimeError("crash")
+        return reached
 
     monkeypatch.setattr(sdedup, "commit_batch", crash_after)
     with pytest.raises(StreamingQueryException, match="crash"):
