@@ -1,10 +1,20 @@
-"""A join for sides where one key may hold a large part of the rows."""
+"""Joins for skewed sides, and the size check before a broadcast."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
 
+# A table is broadcast by hint only up to this measured size.
+BROADCAST_BYTES = 32 << 20
+
+
+def fits_broadcast(table: DataFrame) -> bool:
+    """Measure a settled table: all values as text, plus an allowance per row."""
+    row = F.length(F.concat_ws("", *[F.col(c).cast("string") for c in table.columns])) + 64
+    return (table.agg(F.sum(row)).first()[0] or 0) <= BROADCAST_BYTES
+
+
 def join_skewed(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Equi-join a left side with hot keys to a right side that holds each key once.
 

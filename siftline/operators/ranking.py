@@ -7,9 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..session import settle
-
-# The table of block starts is broadcast up to this size.
-BROADCAST_BYTES = 32 << 20
+from .joins import fits_broadcast
 
 
 def with_position(
@@ -46,7 +44,7 @@ def with_position(
             (F.col("_low") - F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - 1).alias("_base"),
         )
     )
-    if _bytes(starts) <= BROADCAST_BYTES:
+    if fits_broadcast(starts):
         starts = F.broadcast(starts)
     same = F.col("_block") == F.col("_b")
     for g in groups:
@@ -54,9 +52,3 @@ def with_position(
     return numbered.join(starts, same).select(
         *df.columns, (F.col("_row") - F.col("_base")).alias(name)
     )
-
-
-def _bytes(table: DataFrame) -> int:
-    """Size of all values as text plus an allowance per row."""
-    row = F.length(F.concat_ws("", *[F.col(c).cast("string") for c in table.columns])) + 64
-    return table.agg(F.sum(row)).first()[0] or 0

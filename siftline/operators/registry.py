@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..sources.positions import resume_after, up_to
 from .dedup import first_positions, flag_records, identity
-from .joins import join_skewed
+from .joins import fits_broadcast, join_skewed
 
 
 def new_entries(
@@ -21,6 +21,18 @@ def new_entries(
     return firsts.join(registry, identity(scope), "left_anti")
 
 
+def unregistered(firsts: DataFrame, registry: DataFrame, scope: str = "topic") -> DataFrame:
+    """The settled ``firsts`` whose keys the registry does not hold.
+
+    A batch with few keys is broadcast, after measuring it, to pick its keys from
+    the registry where they lie, so a large registry is scanned but not shuffled.
+    """
+    keys = identity(scope)
+    if fits_broadcast(firsts):
+        registry = registry.join(F.broadcast(firsts.select(*keys)), keys, "left_semi")
+    return firsts.join(registry, keys, "left_anti")
+
+
 def build_registry(records: DataFrame, scope: str = "topic", seen: str | None = None) -> DataFrame:
     """The registry of a whole log."""
     return new_entries(records, None, scope, seen)

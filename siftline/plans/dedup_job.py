@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.keys import guard_key
-from ..operators.dedup import flag_records
-from ..operators.registry import new_entries
+from ..operators.dedup import first_positions, flag_records
+from ..operators.registry import unregistered
+from ..session import settle
 from ..sinks.committed import (
     KickoutHandler,
     commit_batch,
@@ -70,11 +71,9 @@ class DedupJob:
         known = self.registry()
         seen = F.date_trunc("second", F.current_timestamp()) if self._seen is None else F.col(self._seen)
         stamped = fresh.withColumn("_seen", seen.cast("timestamp"))
-        entries = new_entries(stamped, known, self._scope, "_seen")
-        added = write_entries(entries, self._root, batch_id).drop("first_seen")
-        replayed = resume_after(
-            known.select("partition", "key", F.col("first_offset").alias("offset")), positions
-        ).withColumnRenamed("offset", "first_offset")
-        flagged = flag_records(fresh, added.unionByName(replayed))
-        commit_batch(flagged, self._root, batch_id, self._on_kickouts)
+        firsts = settle(first_positions(stamped, self._scope, "_seen"))
+        added = write_entries(unregistered(firsts, known, self._scope), self._root, batch_id)
+        # Earlier entries lie at or before the committed positions and the batch
+        # after them, so only its own entries can be matched.
+        commit_batch(flag_records(fresh, added), self._root, batch_id, self._on_kickouts)
         return batch_id

@@ -27,6 +27,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf) -
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for name, value in conf.items():
         builder = builder.config(name, value)

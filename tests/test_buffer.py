@@ -4,7 +4,7 @@ import model
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from siftline.operators import buffer as buf, ranking
+from siftline.operators import buffer as buf, joins, ranking
 from siftline.plans.sort_job import sort_log
 from siftline.sinks import committed as sink
 
@@ -94,13 +94,13 @@ ROWS = st.sets(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 40)),
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=ROWS, broadcast=st.booleans())
 def test_positions_agree_with_counting(spark, rows, broadcast):
-    limit = ranking.BROADCAST_BYTES
-    ranking.BROADCAST_BYTES = limit if broadcast else 0
+    limit = joins.BROADCAST_BYTES
+    joins.BROADCAST_BYTES = limit if broadcast else 0
     try:
         df = spark.createDataFrame(list(rows), "g string, o int")
         got = {(r["g"], r["o"]): r["pos"] for r in ranking.with_position(df, ["g"], ["o"]).collect()}
     finally:
-        ranking.BROADCAST_BYTES = limit
+        joins.BROADCAST_BYTES = limit
     assert got == {(g, o): 1 + sum(1 for h, p in rows if h == g and p < o) for g, o in rows}
 
 

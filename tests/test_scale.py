@@ -6,9 +6,9 @@ import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
-from siftline.operators import buffer as buf, dedup, ranking, registry as reg
+from siftline.operators import buffer as buf, dedup, joins, ranking, registry as reg
 from siftline.plans import catalog
-from siftline.session import session_conf
+from siftline.session import session_conf, settle
 from siftline.sinks import committed as sink
 from siftline.sources import batches
 
@@ -113,15 +113,25 @@ def test_one_large_flush_is_sorted_by_many_tasks(spark, tmp_path):
     assert max(b - a for a, b in ends) < 2 * 20_000 / 4
 
 
-def test_block_starts_are_broadcast_only_when_small(spark, hot_log):
+def test_block_starts_are_broadcast_only_when_small(spark, hot_log, monkeypatch):
     places = hot_log.select("partition", "offset")
     assert "BroadcastHashJoin" in plan(ranking.with_position(places, ["partition"], ["offset"]))
-    limit, ranking.BROADCAST_BYTES = ranking.BROADCAST_BYTES, 0
-    try:
-        with session_conf(spark, NO_BROADCAST):
-            assert "SortMergeJoin" in plan(ranking.with_position(places, ["partition"], ["offset"]))
-    finally:
-        ranking.BROADCAST_BYTES = limit
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    with session_conf(spark, NO_BROADCAST):
+        assert "SortMergeJoin" in plan(ranking.with_position(places, ["partition"], ["offset"]))
+
+
+def test_a_small_batch_leaves_the_registry_where_it_is(spark, hot_log, monkeypatch):
+    known = reg.build_registry(hot_log.where("offset < 20000"))
+    firsts = settle(dedup.first_positions(hot_log.where("offset >= 15000")))
+    with session_conf(spark, NO_BROADCAST):
+        small = reg.unregistered(firsts, known)
+        assert "BroadcastHashJoin" in plan(small)
+        monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+        large = reg.unregistered(firsts, known)
+        assert "Broadcast" not in plan(large)
+        want = hot_log.where("offset >= 20000 and key <> 'hot'").count()
+        assert small.count() == large.count() == want
 
 
 def test_bucketed_registry_is_not_shuffled(spark, hot_log):
