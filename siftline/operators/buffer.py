@@ -25,10 +25,14 @@ def prepare(events: DataFrame) -> DataFrame:
 
 
 def upsert(events: DataFrame, flush: str = "flush_id", keep: list[str] | None = None) -> DataFrame:
-    """One row per (flush, lane, sort key): the event at the highest offset."""
+    """One row per (flush, lane, sort key): the event at the highest offset.
+
+    The hash leads the grouping columns because this aggregate sorts: few flushes
+    and long keys with a common start would make every comparison a long one.
+    """
     kept = [*EVENT_COLUMNS, *(keep or [])]
     return (
-        events.groupBy(flush, "partition", "sort_key")
+        events.groupBy(F.xxhash64("sort_key").alias("_hash"), flush, "partition", "sort_key")
         .agg(F.max_by(F.struct("offset", *kept), "offset").alias("_last"))
         .select(flush, "partition", "sort_key", "_last.*")
     )
