@@ -12,6 +12,17 @@ from .events import is_known_type
 _PARSED = T.StructType([*EVENT.fields, T.StructField("_corrupt_record", T.StringType())])
 
 
+def _is_nested(value: str, field: str) -> Column:
+    """Whether a text field holds an object or array, which is no text.
+
+    The parser hands such a value over as its JSON text. Only texts that begin
+    like one are looked at again.
+    """
+    kind = F.schema_of_variant(F.variant_get(F.try_parse_json(F.col(value)), f"$.{field}", "variant"))
+    suspect = F.substring(F.col(f"_event.{field}"), 1, 1).isin("{", "[")
+    return F.when(suspect, ~kind.eqNullSafe("STRING")).otherwise(F.lit(False))
+
+
 def parse_events(
     records: DataFrame,
     value: str = "value",
@@ -33,6 +44,7 @@ def parse_events(
     reason = (
         F.when(is_null, "null value")
         .when(F.col("_event").isNull() | F.col("_event._corrupt_record").isNotNull(), "malformed json")
+        .when(_is_nested(value, "id") | _is_nested(value, "payload"), "malformed json")
         .when(F.col("_event.eventType").isNull(), "missing event type")
         .when(~is_known_type(F.col("_event.eventType"), domain), "unknown event type")
         .when(F.col("_event.payload").isNull(), "missing payload")

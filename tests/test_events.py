@@ -76,6 +76,14 @@ def test_bad_json_is_rejected_with_a_reason(spark):
     assert ej.event_rejects(parsed).columns == ["offset", "value", "reason"]
 
 
+def test_nested_values_are_no_text(spark):
+    parsed = parse(
+        spark, '{"eventType":"A","id":{"x":1},"payload":"p"}', '{"eventType":"A","id":"1","payload":[1]}',
+        '{"eventType":"A","id":"{1}","payload":"[x"}',
+    )
+    assert [r["reason"] for r in parsed.orderBy("offset").collect()] == ["malformed json", "malformed json", None]
+
+
 def test_bad_json_can_fail_the_batch(spark):
     with pytest.raises(PySparkException, match="bad event: malformed json"):
         ej.good_events(parse(spark, "{bad", on_error="fail")).collect()
