@@ -36,13 +36,17 @@ def start_batches(
 
     The batch is kept while it is written, so that its state is computed once
     however often the rows are used. The count computes all of it in one job.
+    Streams run without adaptive execution; what is derived from the finished
+    batch gets it back, and with it skew handling and measured broadcasts.
     """
+    adaptive = {"spark.sql.adaptive.enabled": rows.sparkSession.conf.get("spark.sql.adaptive.enabled")}
 
     def keep_and_write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             if batch.count() > 0:
-                write(batch, batch_id)
+                with session_conf(batch.sparkSession, adaptive):
+                    write(batch, batch_id)
         finally:
             batch.unpersist()
 

@@ -80,11 +80,11 @@ def start_dedup(
     fails is replayed by Spark under the same id and rows, with the counts as
     they were before it.
     """
-    spark = records.sparkSession
     committed: dict[int, int] | None = None
 
     def write(batch: DataFrame, batch_id: int) -> None:
         nonlocal committed
+        spark = batch.sparkSession
         if committed is None:
             committed = collect_positions(committed_positions(spark, root, before=batch_id))
         rows = batch.where(F.col(_COUNT).isNull()).drop(_COUNT)

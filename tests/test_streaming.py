@@ -189,6 +189,17 @@ def test_restart_with_nothing_new(spark, run, folder, paths):
     assert [r["value"] for r in newest.collect()] == ["3"]
 
 
+def test_batches_are_written_with_adaptive_execution(folder, paths):
+    folder.add((0, 0, "a", "a"))
+    plans = []
+
+    def write(batch, _batch_id):
+        plans.append(batch.groupBy("key").count()._jdf.queryExecution().executedPlan().toString())
+
+    control.run_to_end(control.start_batches(folder.stream(), write, paths[1]), 60)
+    assert len(plans) == 1 and "AdaptiveSparkPlan" in plans[0]
+
+
 def test_null_key_can_fail_the_stream(run, folder, paths):
     folder.add((0, 0, None, "x"))
     with pytest.raises(StreamingQueryException, match="record without a key"):
