@@ -24,7 +24,7 @@ from ..sinks.committed import (
     read_registry,
     write_entries,
 )
-from ..sources.positions import collect_positions, resume_after
+from ..sources.positions import collect_positions, next_batch, resume_after
 
 class DedupJob:
     """Dedup a log run by run; the state lives in files below ``root``."""
@@ -60,10 +60,14 @@ class DedupJob:
         newest = last_batch(self._spark, self._root)
         return read_registry(self._spark, self._root, newest if as_of is None else min(as_of, newest))
 
-    def run(self, log: DataFrame) -> int | None:
-        """Process what is new as one batch; its id, or None if there was nothing."""
+    def run(self, log: DataFrame, max_offsets: int | None = None) -> int | None:
+        """Process what is new as one batch; its id, or None if there was nothing.
+
+        ``max_offsets`` bounds the batch per source partition; call again for the rest.
+        """
         positions = self.positions()
-        fresh = guard_key(resume_after(log, positions), self._on_null_key)
+        news = resume_after(log, positions) if max_offsets is None else next_batch(log, positions, max_offsets)
+        fresh = guard_key(news, self._on_null_key)
         if fresh.isEmpty():
             return None
         batch_id = last_batch(self._spark, self._root) + 1

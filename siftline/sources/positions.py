@@ -73,6 +73,19 @@ def resume_after(records: DataFrame, committed: dict[int, int]) -> DataFrame:
     return replay_from(records, {p: o + 1 for p, o in committed.items()})
 
 
+def next_batch(records: DataFrame, committed: dict[int, int], max_offsets: int) -> DataFrame:
+    """What follows the committed positions, at most ``max_offsets`` records per source partition.
+
+    Offsets serve as a bound only: with gaps there are fewer records, but never
+    none, because each stretch begins at a record.
+    """
+    if max_offsets < 1:
+        raise ValueError("max_offsets must be positive")
+    fresh = resume_after(records, committed)
+    starts = collect_positions(fresh.groupBy("partition").agg(F.min("offset").alias("offset")))
+    return up_to(fresh, {p: o + max_offsets - 1 for p, o in starts.items()})
+
+
 def start_at(records: DataFrame, positions: dict[int, int], policy: str = "none") -> DataFrame:
     """Replay with a rule for positions that are not in the log.
 

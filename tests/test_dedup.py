@@ -175,9 +175,9 @@ def test_happy_path_with_restart(spark, log, root):
 
 def test_batches_full_of_kickouts(spark, log, root):
     rows = [(0, o, k) for o, k in enumerate("11231143")]
-    for end in (2, 4, 6, 8):
-        DedupJob(spark, root).run(log(*rows[:end]))
     job = DedupJob(spark, root)
+    while job.run(log(*rows), max_offsets=2) is not None:
+        pass
     assert values(job.output()) == ["1", "2", "3", "4"]
     assert values(job.output("kickout")) == ["1", "1", "1", "3"]
     got = [tuple(r) for r in job.commits().orderBy("batch_id")

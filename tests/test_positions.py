@@ -48,6 +48,13 @@ def test_first_run_reads_everything_then_resumes(log):
     assert offsets(pos.resume_after(records, {0: 1})) == [(0, 4), (1, 2)]
 
 
+def test_next_batch_is_bounded_and_never_stuck_in_a_gap(log):
+    records = log((0, 1, "a"), (0, 2, "b"), (0, 50, "c"), (1, 7, "d"), (1, 9, "e"))
+    assert offsets(pos.next_batch(records, {}, 2)) == [(0, 1), (0, 2), (1, 7)]
+    assert offsets(pos.next_batch(records, {0: 2, 1: 7}, 2)) == [(0, 50), (1, 9)]
+    assert offsets(pos.next_batch(records, {0: 50, 1: 9}, 2)) == []
+
+
 def test_many_partitions_use_a_lookup(log):
     records = log(*[(p, o, "k") for p in range(80) for o in (1, 2)])
     starts = {p: 1 + p % 2 for p in range(79)}
