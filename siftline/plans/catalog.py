@@ -811,6 +811,24 @@ def m1_batch_accounting(spark: SparkSession, d: str) -> DataFrame:
     return batch_accounting(dedup.classify(rows), ["batch_id", "partition"]).drop("n_reject")
 
 
+_QUARTER = "(SELECT CAST(ceil((max(event_id) + 1) / 4) AS BIGINT) FROM events)"
+
+
+@register(
+    f"""SELECT "offset" // {_QUARTER} AS batch_id, count(*) AS n_in, count(*) FILTER (NOT dup) AS n_unique,
+    count(*) FILTER (dup) AS n_dup, max("offset") AS committed_offset FROM (SELECT *,
+    "offset" <> min("offset") OVER (PARTITION BY "key") AS dup FROM {_LOG}) GROUP BY 1"""
+)
+def m1_bounded_job_runs(spark: SparkSession, d: str) -> DataFrame:
+    """The incremental job in four bounded runs; what its commit markers say."""
+    log = event_log(spark, d)
+    size = log.select(F.ceil((F.max("offset") + 1) / LANES)).first()[0]
+    job = DedupJob(spark, scratch_path(spark, "bounded"), seen="ts")
+    while job.run(log, max_offsets=size) is not None:
+        pass
+    return job.commits().select("batch_id", "n_in", "n_unique", "n_dup", "committed_offset")
+
+
 # ---- streams --------------------------------------------------------------
 
 
@@ -854,6 +872,19 @@ def d1_stream_classify_keyed_state(spark: SparkSession, d: str) -> DataFrame:
     return _flagged_output(spark, _run_dedup(spark, d, keyed.start_keyed_dedup)[0])
 
 
+@register(_FLAGGED)
+def d6_stream_restarts(spark: SparkSession, d: str) -> DataFrame:
+    """The log arrives in three parts; the query is started anew for each."""
+    log = event_log(spark, d)
+    source, root, checkpoint = (scratch_path(spark, label) for label in ("parts", "stream", "stream-state"))
+    third = log.select(F.ceil((F.max("offset") + 1) / 3)).first()[0]
+    for part in range(3):
+        now = F.col("offset").between(part * third, (part + 1) * third - 1)
+        log.where(now).write.mode("append").parquet(source)
+        control.run_to_end(sdedup.start_dedup(stream_files(spark, source, log.schema), root, checkpoint))
+    return _flagged_output(spark, root)
+
+
 @register(f'SELECT "key", min("offset") AS first_offset FROM {_LOG} GROUP BY 1')
 def d4_stream_registry(spark: SparkSession, d: str) -> DataFrame:
     root, _, _ = _run_dedup(spark, d)
