@@ -9,10 +9,12 @@ are enumerated by leaving out each symbol in turn, so such a pair shares a key f
 certain. Sets of similarity 0.8 that share no key have a chance below 1e-6.
 
 All candidates are confirmed on full sets. They are tried in two passes, as components
-are what is asked for: first each document against one representative it shares most
-keys with; then all pairs with a common key that are still in different components.
-The second pass leaves no candidate out, but has few, as a group of copies is one component
-by then. So neither a hot key nor a group of copies is multiplied out.
+are what is asked for. First each document is held against one representative: the most
+connected document of the keys they share, such as the original of many edited copies.
+Then come all pairs with a common key that are still in different components, apart from
+documents of which too many shingles occur nowhere else: if more than a fifth of a set
+is its own, nothing can be similar to it by 0.8. That test is exact, so no link is
+lost, and neither a hot key nor a group of copies is multiplied out.
 """
 
 from __future__ import annotations
@@ -140,6 +142,25 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(100 * common >= percent * union).select("a", "b")
 
 
+def linkable(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The nodes that can be similar to another of them at all.
+
+    A set similar to ``percent`` shares that part of its own shingles with one other set, so at
+    least with all others together. Repeated while it removes a tenth or more.
+    """
+    nodes = stored(nodes, "nodes")
+    n = nodes.count()
+    while n:
+        own = sets.join(nodes, "node", "left_semi").select("node", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
+        often = own.groupBy("shingle").agg(F.min("node").alias("_lo"), F.max("node").alias("_hi")).filter("_lo < _hi").select("shingle", "_lo")
+        shared = join_skewed(own, often, ["shingle"], "inner").groupBy("node", "size").agg(F.count(F.lit(1)).alias("n"))
+        nodes = stored(shared.filter(100 * F.col("n") >= percent * F.col("size")).select("node"), "nodes")
+        before, n = n, nodes.count()
+        if 10 * n > 9 * before:
+            break
+    return nodes
+
+
 def named(nodes: DataFrame, found: DataFrame) -> DataFrame:
     """Add the component of each node; a node without links is its own."""
     ids = found.select(F.col("id").alias("node"), F.col("component").alias("_c"))
@@ -173,29 +194,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     heads = unique.select(F.col("node").alias("doc_id"), *keys)
     heads = whole.join(heads, ["doc_id", *keys], "left_semi").select(F.col("doc_id").alias("node"), "sig").dropDuplicates(["node"])
     index = stored(index_keys(heads), "index")
-    shared = index.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first < last")
-    buckets = stored(join_skewed(index, shared.select("key", "first"), ["key"], "inner"), "buckets")
-    asked = buckets.select("node").distinct()
+    shared = index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    buckets = stored(join_skewed(index, shared, ["key"], "inner"), "buckets")
+    degrees = stored(buckets.groupBy("node").agg(F.sum("n").alias("degree")), "degrees")
     sets = stored(
-        sets_of(texts.join(asked.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"), k).select(
+        sets_of(texts.join(degrees.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"), k).select(
             F.col("doc_id").alias("node"), "shingles"
         ),
         "sets",
     )
     # first pass: the representative that shares most keys
+    ranked = stored(join_skewed(buckets.drop("n"), degrees, ["node"], "inner"), "ranked")
+    centres = ranked.groupBy("key").agg(F.max(F.struct("degree", (-F.col("node")).alias("m"))).alias("_r"))
+    centres = centres.select("key", (-F.col("_r.m")).alias("centre"))
     best = (
-        buckets.filter("first <> node")
-        .groupBy("node", "first")
+        join_skewed(ranked, centres, ["key"], "inner")
+        .filter("centre <> node")
+        .groupBy("node", "centre")
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("node")
-        .agg(F.max(F.struct("n", (-F.col("first")).alias("f"))).alias("best"))
+        .agg(F.max(F.struct("n", (-F.col("centre")).alias("f"))).alias("best"))
     )
     stars = stored(best.select((-F.col("best.f")).alias("a"), F.col("node").alias("b")), "stars")
     linked = stored(confirm(stars, sets, percent), "confirmed")
-    placed = stored(named(buckets.select("key", "node"), components(linked)), "placed")
+    placed = stored(named(ranked.select("key", "node"), components(linked)), "placed")
     # second pass: whatever shares a key across components
     open_keys = placed.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).filter("_lo < _hi").select("key", "_lo")
     across = stored(join_skewed(placed, open_keys, ["key"], "inner").drop("_lo"), "across")
+    able = linkable(across.select("node").distinct(), sets, percent)
+    across = stored(across.join(able, "node", "left_semi"), "able")
     other = across.select("key", F.col("node").alias("b"), F.col("component").alias("_cb"))
     pairs = (
         across.select("key", F.col("node").alias("a"), F.col("component").alias("_ca"))
