@@ -13,8 +13,10 @@ are what is asked for. First each document is held against one representative: t
 connected document of the keys they share, such as the original of many edited copies.
 Then come all pairs with a common key that are still in different components, apart from
 documents of which too many shingles occur nowhere else: if more than a fifth of a set
-is its own, nothing can be similar to it by 0.8. That test is exact, so no link is
-lost, and neither a hot key nor a group of copies is multiplied out.
+is its own, nothing can be similar to it by 0.8. That test is exact. The pairs must
+also be near by a long signature of BITS one-bit hashes, at a distance that sets of the
+wanted similarity exceed with a chance of about 1e-9, and each is emitted at one of its
+keys only. So neither a hot key nor a group of copies is multiplied out.
 """
 
 from __future__ import annotations
@@ -35,6 +37,10 @@ CHUNKS = 10
 # Chunks of 5 symbols, then of 4.
 BOUNDS = np.linspace(0, SYMBOLS, CHUNKS + 1).round().astype(int)
 _numbers = mix(np.arange(1, 2 * SYMBOLS + 1, dtype=np.uint64))
+# The long signature, for the documents that are left for the second pass.
+BITS = 2048
+SIGMAS = 6
+WORDS = [f"w{i}" for i in range(BITS // 64)]
 FACTORS, SHIFTS = _numbers[:SYMBOLS] | np.uint64(1), _numbers[SYMBOLS:]
 
 
@@ -161,6 +167,54 @@ def linkable(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return nodes
 
 
+def long_signatures(sets: DataFrame) -> DataFrame:
+    """``node, w0, w1, ..`` of ``node, shingles`` rows: BITS one-bit minimum hashes in 64-bit words."""
+    schema = pa.schema([("node", pa.int64()), *((w, pa.int64()) for w in WORDS)])
+    numbers = mix(np.arange(1000, 1000 + 2 * BITS, dtype=np.uint64))
+    factors, shifts = numbers[:BITS] | np.uint64(1), numbers[BITS:]
+
+    def signed(batches):
+        for batch in batches:
+            lists, rows = batch.column("shingles"), []
+            values = np.asarray(lists.values).view(np.uint64)
+            bounds = np.asarray(lists.offsets)
+            for a, b in zip(bounds[:-1], bounds[1:]):
+                own = values[a:b]
+                low = np.full(BITS, np.iinfo(np.uint64).max, dtype=np.uint64)
+                for at in range(0, len(own), 256):  # bounds the table of hashes at 4 MB
+                    np.minimum(low, (own[at : at + 256, None] * factors + shifts).min(axis=0), out=low)
+                rows.append(np.packbits((mix(low) & np.uint64(1)).astype(bool)).view(np.int64))
+            if rows:
+                words = [pa.array(w) for w in np.stack(rows, axis=1)]
+                yield pa.RecordBatch.from_arrays([batch.column("node"), *words], schema=schema)
+
+    return sets.mapInArrow(signed, ", ".join(["node long", *(f"{w} long" for w in WORDS)]))
+
+
+def close_pairs(across: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``a, b`` of different components that share a key and are near by the long signature.
+
+    ``across`` has ``key, node, component``.
+    """
+    differ = (1 - percent / 100) / 2
+    most = int(np.ceil(BITS * differ + SIGMAS * np.sqrt(BITS * differ * (1 - differ))))
+    keys = across.groupBy("node").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    signed = long_signatures(sets.join(across.select("node").distinct(), "node", "left_semi"))
+    full = stored(across.join(signed.join(keys, "node"), "node"), "long")
+    names = ["node", "component", "keys", *WORDS]
+    a = full.select("key", *[F.col(c).alias(f"{c}_a") for c in names])
+    b = full.select("key", *[F.col(c).alias(f"{c}_b") for c in names])
+    distance = F.expr(" + ".join(f"bit_count({w}_a ^ {w}_b)" for w in WORDS))
+    near = (
+        (a["key"] == b["key"])
+        & (F.col("node_a") < F.col("node_b"))
+        & (F.col("component_a") != F.col("component_b"))
+        & (distance <= most)
+        & (a["key"] == F.array_min(F.array_intersect("keys_a", "keys_b")))
+    )
+    return a.join(b, near).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+
+
 def named(nodes: DataFrame, found: DataFrame) -> DataFrame:
     """Add the component of each node; a node without links is its own."""
     ids = found.select(F.col("id").alias("node"), F.col("component").alias("_c"))
@@ -223,14 +277,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     across = stored(join_skewed(placed, open_keys, ["key"], "inner").drop("_lo"), "across")
     able = linkable(across.select("node").distinct(), sets, percent)
     across = stored(across.join(able, "node", "left_semi"), "able")
-    other = across.select("key", F.col("node").alias("b"), F.col("component").alias("_cb"))
-    pairs = (
-        across.select("key", F.col("node").alias("a"), F.col("component").alias("_ca"))
-        .join(other, "key")
-        .filter("_ca <> _cb and a < b")
-        .select("a", "b")
-        .distinct()
-    )
+    pairs = close_pairs(across, sets, percent)
     pairs = pairs.join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     late = confirm(stored(pairs, "late"), sets, percent)
     every = components(stored(linked.union(late).union(same), "all-links"))
