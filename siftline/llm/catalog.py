@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, licenses, mixing, near_dedup, quality, secrets, sharding, url_rules
+from . import decontaminate, licenses, mixing, near_dedup, quality, repeats, secrets, sharding, toxicity, url_rules
 from .tables import table
 
 
@@ -22,10 +22,18 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"), "doc_id", path)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), 24)
 
 
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
@@ -48,7 +56,9 @@ QUERIES = {
         op1_secrets,
         op2_near_duplicates,
         op3_licenses,
+        op4_toxicity,
         op5_shards,
+        op6_repeats,
         op7_quality_rules,
         op8_mixture,
         op9_url_rules,
