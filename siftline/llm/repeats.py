@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 from .arrays import mix, prefix_hashes, runs, span_hashes
 
 SIZE = 100
-GRAM = 32
+GRAM = 24
 STEP = 20
 DEPTH = SIZE // STEP
 # A shard holds about so many bytes of pieces.
@@ -293,14 +293,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     """
     spark = docs.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    long_enough = texts.filter(f"doc_id is not null and octet_length(text) >= {SIZE}")
-    pieces = long_enough.mapInArrow(find_pieces, "fp long, piece long, doc_id long, start long, n int")
+    texts = docs.select(id_col, text)
+    if texts.dtypes != [("doc_id", "bigint"), ("text", "string")]:
+        texts = texts.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    # both joins take the same rows, so that they share one shuffle of the texts
+    named = texts.filter("doc_id is not null")
+    pieces = named.filter(F.octet_length("text") >= SIZE).mapInArrow(find_pieces, "fp long, piece long, doc_id long, start long, n int")
     sifted = pieces.repartition(tasks, "fp").mapInArrow(sift_pieces, "fp long, doc_id long, start long, n int")
     asked = sifted.groupBy("doc_id").agg(F.collect_list(F.struct("fp", "start", "n")).alias("spans"))
-    cut = texts.join(asked.hint("shuffle_merge"), "doc_id").mapInArrow(cut_pieces, "fp long, doc_id long, start long, n int, text binary")
+    cut = named.join(asked.hint("shuffle_merge"), "doc_id").mapInArrow(cut_pieces, "fp long, doc_id long, start long, n int, text binary")
     found = cut.repartition(tasks, "fp").mapInArrow(compare_pieces, "doc_id long, start long, n int")
     spans = found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
-    return texts.join(spans.hint("shuffle_merge"), "doc_id", "left").mapInArrow(
+    listed = named.join(spans.hint("shuffle_merge"), "doc_id", "left")
+    unnamed = texts.filter("doc_id is null").withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
+    return listed.unionByName(unnamed).mapInArrow(
         take_out, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
