@@ -15,13 +15,40 @@ EVENT_COLUMNS = ["eventType", "id", "payload"]
 
 
 def flush_window(interval: str, ts: str = "ts") -> Column:
-    """Start of the event's window; the window is closed ``interval`` later."""
-    return F.window(ts, interval)["start"]
+    """Start of the event's window; the window is closed ``interval`` later.
 
+    Windows are aligned to the epoch, and the start has the type of ``ts``. By arithmetic, as the
+    built-in window function takes rows without a time out of the whole frame; here they
+    get a null.
+    """
+    past = f"pmod(unix_micros(CAST({ts} AS TIMESTAMP)), unix_micros(timestamp_micros(0) + INTERVAL {interval}))"
+    return F.expr(f"{ts} - make_dt_interval(0, 0, 0, CAST({past} / 1000000BD AS DECIMAL(18, 6)))")
+
+
+def bad_event() -> Column:
+    """Why an event cannot be buffered; null for a good one."""
+    return F.when(F.col("eventType").isNull(), "missing type").when(F.col("payload").isNull(), "missing payload")
+
+
+def bad_events(events: DataFrame) -> DataFrame:
+    """The events that ``on_bad_event="reject"`` leaves out, with their reason."""
+    return events.withColumn("reason", bad_event()).where("reason is not null")
 
-def prepare(events: DataFrame) -> DataFrame:
-    """Upper-case the payload and add the sort key, in this order, before buffering."""
-    return upper_payload(events).withColumn("sort_key", sort_key())
+
+def prepare(events: DataFrame, on_bad_event: str = "fail") -> DataFrame:
+    """Upper-case the payload and add the sort key, in this order, before buffering.
+
+    An event without type or payload fails the run, or is left out with ``reject``;
+    :func:`bad_events` has those.
+    """
+    if on_bad_event not in ("fail", "reject"):
+        raise ValueError("on_bad_event must be fail or reject")
+    if on_bad_event == "reject":
+        return upper_payload(events.where(bad_event().isNull())).withColumn("sort_key", sort_key())
+    checked = F.when(bad_event().isNull(), sort_key()).otherwise(
+        F.raise_error(F.concat(F.lit("event cannot be buffered: "), bad_event())).cast("string")
+    )
+    return upper_payload(events).withColumn("sort_key", checked)
 
 
 def upsert(events: DataFrame, flush: str = "flush_id", keep: list[str] | None = None) -> DataFrame:
@@ -56,9 +83,11 @@ def emit(sorted_rows: DataFrame, flush: str = "flush_id") -> DataFrame:
     )
 
 
-def buffer_and_sort(events: DataFrame, flush: str = "flush_id", across_lanes: bool = False) -> DataFrame:
+def buffer_and_sort(
+    events: DataFrame, flush: str = "flush_id", across_lanes: bool = False, on_bad_event: str = "fail"
+) -> DataFrame:
     """Upper-case, upsert and sort: what each flush sends on."""
-    return emit(sort_flushes(upsert(prepare(events), flush), flush, across_lanes), flush)
+    return emit(sort_flushes(upsert(prepare(events, on_bad_event), flush), flush, across_lanes), flush)
 
 
 def closed(buffered: DataFrame, watermark: Column, interval: str, flush: str = "flush_id") -> DataFrame:

@@ -11,7 +11,7 @@ BROADCAST_BYTES = 32 << 20
 
 def fits_broadcast(table: DataFrame) -> bool:
     """Measure a settled table: all values as text, plus an allowance per row."""
-    row = F.length(F.concat_ws("", *[F.col(c).cast("string") for c in table.columns])) + 64
+    row = F.octet_length(F.concat_ws("", *[F.col(c).cast("string") for c in table.columns])) + 64
     return (table.agg(F.sum(row)).first()[0] or 0) <= BROADCAST_BYTES
 
 

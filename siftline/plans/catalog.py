@@ -152,6 +152,43 @@ def s2_resume_after_commit(spark: SparkSession, d: str) -> DataFrame:
     return pos.resume_after(log, _midway(log)).drop("ts")
 
 
+_MANY = """(SELECT CAST(event_id % 200 AS INTEGER) AS "partition", event_id AS "offset",
+  event_type || ' ' || user_id AS "key" FROM events)"""
+
+
+def _many(spark: SparkSession, d: str) -> tuple[DataFrame, dict[int, int]]:
+    """A log of 200 source partitions, and another position in each."""
+    log = event_log(spark, d).withColumn("partition", (F.col("offset") % 200).cast("int"))
+    return log.select("partition", "offset", "key"), {p: 100 + 4 * p for p in range(200)}
+
+
+@register(f"""SELECT * FROM {_MANY} WHERE "offset" > 100 + 4 * "partition\"""")
+def s2_resume_many_partitions(spark: SparkSession, d: str) -> DataFrame:
+    return pos.resume_after(*_many(spark, d))
+
+
+@register(f"""SELECT * FROM {_MANY} WHERE "partition" >= 150 OR "offset" >= 100 + 4 * "partition\"""")
+def s3_replay_many_partitions(spark: SparkSession, d: str) -> DataFrame:
+    """The last 50 partitions have no position and are read in full."""
+    log, starts = _many(spark, d)
+    return pos.replay_from(log, {p: o for p, o in starts.items() if p < 150})
+
+
+def _every_fifth_lost(spark: SparkSession, d: str) -> tuple[DataFrame, dict[int, int]]:
+    log, starts = _many(spark, d)
+    return log, {p: -5 if p % 5 == 0 else o for p, o in starts.items()}
+
+
+@register(f"""SELECT * FROM {_MANY} WHERE "partition" % 5 = 0 OR "offset" >= 100 + 4 * "partition\"""")
+def s4_reset_many_to_earliest(spark: SparkSession, d: str) -> DataFrame:
+    return pos.start_at(*_every_fifth_lost(spark, d), "earliest")
+
+
+@register(f"""SELECT * FROM {_MANY} WHERE "partition" % 5 <> 0 AND "offset" >= 100 + 4 * "partition\"""")
+def s4_reset_many_to_latest(spark: SparkSession, d: str) -> DataFrame:
+    return pos.start_at(*_every_fifth_lost(spark, d), "latest")
+
+
 @register(
     f"""SELECT l."partition", "offset", "key" FROM {_LANES} l JOIN {_MIDWAY} c
     ON l."partition" = c."partition" WHERE "offset" >= committed"""
@@ -635,6 +672,20 @@ def d14_idempotent_append(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@register(
+    """SELECT min(event_id) AS "offset", CASE WHEN user_id % 7 > 0 THEN user_id END AS "key\"
+    FROM events GROUP BY 2"""
+)
+def d14_append_null_keys(spark: SparkSession, d: str) -> DataFrame:
+    """A null is a key like any other: it too lands once."""
+    path = scratch_path(spark, "append")
+    key = F.when(F.col("user_id") % 7 > 0, F.col("user_id")).alias("key")
+    firsts = read_table(spark, d, "events").groupBy(key).agg(F.min("event_id").alias("offset"))
+    for _ in range(2):
+        sink.append_new(firsts, path, on=["key"])
+    return spark.read.parquet(path)
+
+
 # ---- buffer and sort ------------------------------------------------------
 
 _HOURLY = """(SELECT date_trunc('hour', ts) AS flush_id, CAST(user_id % {lanes} AS INTEGER) AS "partition",
@@ -739,6 +790,38 @@ def b7_long_windows(spark: SparkSession, d: str) -> DataFrame:
     return buf.sort_flushes(done).select("flush_id", *buf.EVENT_COLUMNS, "pos")
 
 
+@register(
+    """WITH e AS (SELECT CASE WHEN l_quantity > 2 THEN l_returnflag END AS t, l_linestatus AS i,
+    CASE WHEN l_tax > 0 THEN l_linestatus END AS p, CASE WHEN l_discount > 0 THEN l_shipdate END AS ts FROM lineitem),
+    r AS (SELECT *, CASE WHEN t IS NULL THEN 'missing type' WHEN p IS NULL THEN 'missing payload'
+    WHEN ts IS NULL THEN 'missing time' END AS reason FROM e)
+    SELECT coalesce(reason, 'flushed or superseded') AS outcome, count(*) AS n FROM r GROUP BY 1"""
+)
+def b1_no_event_is_lost(spark: SparkSession, d: str) -> DataFrame:
+    """Flushed, superseded and rejected events add up to the input, with nulls in every field."""
+    events = read_table(spark, d, "lineitem").select(
+        F.lit(0).alias("partition"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("offset"),
+        F.when(F.col("l_quantity") > 2, F.col("l_returnflag")).alias("eventType"),
+        F.col("l_linestatus").alias("id"),
+        F.when(F.col("l_tax") > 0, F.col("l_linestatus")).alias("payload"),
+        F.when(F.col("l_discount") > 0, F.col("l_shipdate").cast("timestamp")).alias("ts"),
+    )
+    flushed = events.withColumn("flush_id", buf.flush_window("1 day"))
+    untimed = F.when(F.col("flush_id").isNull(), "missing time")
+    good = flushed.where(buf.bad_event().isNull() & untimed.isNull())
+    sent = buf.upsert(buf.prepare(good))
+    superseded = good.join(sent.select("offset"), "offset", "left_anti")
+    told = F.lit("flushed or superseded").alias("outcome")
+    every = (
+        sent.select(told)
+        .union(superseded.select(told))
+        .union(buf.bad_events(flushed).select("reason"))
+        .union(flushed.where(buf.bad_event().isNull()).select(untimed).where(untimed.isNotNull()))
+    )
+    return every.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register(
     f"""WITH arrived AS (SELECT *, split_part("key", ' ', 1) AS "eventType",
     split_part("key", ' ', 2) AS id FROM {_RANKED}), last AS (SELECT * FROM arrived QUALIFY row_number()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.event_json import event_rejects, good_events, parse_events
 from ..operators.buffer import buffer_and_sort
@@ -21,9 +21,14 @@ def sort_log(
 
     ``flush`` says which flush a record belongs to: an event-time window
     (:func:`siftline.operators.buffer.flush_window`) or the batch of arrival.
-    Rows that are no events go to ``rejects_path`` with their reason.
+    Rows that are no events, or belong to no flush because their time is missing, go to
+    ``rejects_path`` with their reason.
     """
     parsed = parse_events(records.withColumn("flush_id", flush), on_error=on_error)
+    untimed = F.lit("missing time")
+    if on_error == "fail":
+        untimed = F.raise_error(F.concat(F.lit("bad event: "), untimed)).cast("string")
+    parsed = parsed.withColumn("reason", F.coalesce("reason", F.when(F.col("flush_id").isNull(), untimed)))
     if rejects_path is not None:
         event_rejects(parsed).write.mode("overwrite").parquet(rejects_path)
     write_flushes(buffer_and_sort(good_events(parsed), across_lanes=across_lanes), path)

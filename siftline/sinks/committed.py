@@ -20,7 +20,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.accounting import batch_accounting
-from ..schemas import REGISTRY
+from ..schemas import RECORD, REGISTRY
 from ..session import session_conf
 from ..sources.batches import read_committed
 from ..sources.positions import collect_positions
@@ -78,6 +78,8 @@ def commit_batch(
             flagged.withColumn("outcome", outcome)
             .drop("is_duplicate")
             .write.mode("overwrite")
+            # whatever a failed attempt left goes, also where the session overwrites by folder
+            .option("partitionOverwriteMode", "static")
             .partitionBy("outcome")
             .parquet(target)
         )
@@ -89,7 +91,8 @@ def commit_batch(
     verdict = F.when(F.col("outcome") == "kickout", True).when(F.col("outcome") == "unique", False)
     counts = (
         batch_accounting(written.withColumn("is_duplicate", verdict), ["partition"])
-        .coalesce(1)
+        # one file, written after the counts are complete
+        .repartition(1)
         .persist()
     )
     try:
@@ -132,9 +135,11 @@ def read_output(spark: SparkSession, root: str, outcome: str = "unique") -> Data
     batch that is being written or repeated is not opened at all. Delivery order
     is (partition, offset): sort by it where order matters.
     """
-    rows = spark.read.parquet(f"{root}/records").where(
-        (F.col("outcome") == outcome) & (F.col("batch_id") <= last_batch(spark, root))
-    )
+    newest = last_batch(spark, root)
+    if newest < 0:
+        # no batch yet, and so no other columns than those of a record
+        return spark.createDataFrame([], T.StructType([*RECORD.fields, T.StructField("batch_id", T.LongType())]))
+    rows = spark.read.parquet(f"{root}/records").where((F.col("outcome") == outcome) & (F.col("batch_id") <= newest))
     whole = rows.drop("outcome").withColumn("batch_id", F.col("batch_id").cast("bigint"))
     return read_committed(whole, commits(spark, root))
 
@@ -145,7 +150,7 @@ def write_entries(entries: DataFrame, root: str, batch_id: int) -> DataFrame:
     Read back, they have a known size, by which Spark picks the next join.
     """
     path = f"{root}/registry/batch_id={batch_id}"
-    entries.select(*REGISTRY.fieldNames()).write.mode("overwrite").parquet(path)
+    entries.select(*REGISTRY.fieldNames()).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return entries.sparkSession.read.schema(REGISTRY).parquet(path)
 
 
@@ -158,11 +163,15 @@ def read_registry(spark: SparkSession, root: str, upto: int) -> DataFrame:
 def append_new(rows: DataFrame, path: str, on: list[str]) -> None:
     """Idempotent append: rows whose key the target already holds are left out.
 
-    ``rows`` must hold each key once. Run again, it appends nothing.
+    ``rows`` must hold each key once. Run again, it appends nothing. A null in a
+    key equals a null.
     """
     spark = rows.sparkSession
-    present = read_or_empty(spark, path, rows.schema).select(*on)
-    rows.join(present, on, "left_anti").write.mode("append").parquet(path)
+    present = read_or_empty(spark, path, rows.schema).select(*[F.col(c).alias(f"_p_{c}") for c in on])
+    same = F.lit(True)
+    for c in on:
+        same = same & rows[c].eqNullSafe(present[f"_p_{c}"])
+    rows.join(present, same, "left_anti").write.mode("append").parquet(path)
 
 
 def write_flushes(emitted: DataFrame, path: str, flush: str = "flush_id") -> None:

@@ -1,24 +1,20 @@
 """Start positions per source partition: resume, replay and the reset policy.
 
 Positions travel as a small dict ``{partition: offset}``, one entry per source
-partition, so they become literals that reach the parquet scan as filters.
+partition. They are joined to the records as a table, and what holds for all of them,
+the lowest start or the highest end, reaches the parquet scan as a filter.
 """
 
 from __future__ import annotations
 
-import functools
 import json
-import operator
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 RESET_POLICIES = ("earliest", "latest", "none")
 
-# A log has at most this many source partitions; more is taken for an error,
-# so that the driver never receives a list that grows with the data.
-MAX_SOURCE_PARTITIONS = 100_000
-
-_LITERAL_FILTERS = 64
+# Up to so many entries, of 16 bytes each, the position table is sent to all tasks.
+_BROADCAST_ENTRIES = 1 << 20
 
 
 class OffsetOutOfRange(ValueError):
@@ -27,10 +23,7 @@ class OffsetOutOfRange(ValueError):
 
 def collect_positions(positions: DataFrame) -> dict[int, int]:
     """``partition, offset`` rows as a dict."""
-    rows = positions.select("partition", "offset").limit(MAX_SOURCE_PARTITIONS + 1).collect()
-    if len(rows) > MAX_SOURCE_PARTITIONS:
-        raise ValueError("too many source partitions for a position table")
-    return {r["partition"]: r["offset"] for r in rows}
+    return {r["partition"]: r["offset"] for r in positions.select("partition", "offset").collect()}
 
 
 def last_positions(records: DataFrame) -> DataFrame:
@@ -43,29 +36,31 @@ def starting_offsets_json(topic: str, positions: dict[int, int]) -> str:
     return json.dumps({topic: {str(p): o for p, o in sorted(positions.items())}})
 
 
-def _looked_up(positions: dict[int, int]) -> Column:
-    """The position of the row's partition; null for other partitions."""
-    pairs = [F.lit(x).cast("bigint") for kv in positions.items() for x in kv]
-    return F.create_map(*pairs)[F.col("partition").cast("bigint")]
+def _with_position(records: DataFrame, positions: dict[int, int], how: str) -> DataFrame:
+    """Add ``_at``, the position of the row's partition."""
+    kind = records.schema["partition"].dataType.simpleString()
+    table = records.sparkSession.createDataFrame(list(positions.items()), f"_of {kind}, _at long")
+    if len(positions) <= _BROADCAST_ENTRIES:
+        table = F.broadcast(table)
+    return records.join(table, F.col("partition") == F.col("_of"), how)
 
 
 def replay_from(records: DataFrame, positions: dict[int, int]) -> DataFrame:
     """All records at or after the chosen offsets; other partitions in full."""
     if not positions:
         return records
-    if len(positions) > _LITERAL_FILTERS:
-        start = _looked_up(positions)
-        return records.where(start.isNull() | (F.col("offset") >= start))
-    ranges = [(F.col("partition") == p) & (F.col("offset") >= o) for p, o in positions.items()]
-    return records.where(functools.reduce(operator.or_, ranges, ~F.col("partition").isin(*positions)))
+    listed = F.col("partition").isin(*positions)
+    within = records.where((F.col("offset") >= min(positions.values())) | ~listed)
+    placed = _with_position(within, positions, "left")
+    return placed.where(F.col("_at").isNull() | (F.col("offset") >= F.col("_at"))).drop("_of", "_at")
 
 
 def up_to(records: DataFrame, positions: dict[int, int]) -> DataFrame:
     """All records at or before the positions; nothing of other partitions."""
-    if len(positions) > _LITERAL_FILTERS:
-        return records.where(F.col("offset") <= _looked_up(positions))
-    ranges = [(F.col("partition") == p) & (F.col("offset") <= o) for p, o in positions.items()]
-    return records.where(functools.reduce(operator.or_, ranges, F.lit(False)))
+    if not positions:
+        return records.where(F.lit(False))
+    within = records.where(F.col("offset") <= max(positions.values()))
+    return _with_position(within, positions, "inner").where(F.col("offset") <= F.col("_at")).drop("_of", "_at")
 
 
 def resume_after(records: DataFrame, committed: dict[int, int]) -> DataFrame:
@@ -101,12 +96,12 @@ def start_at(records: DataFrame, positions: dict[int, int], policy: str = "none"
         records.where(F.col("partition").isin(*positions))
         .groupBy("partition")
         .agg(F.min("offset").alias("low"), F.max("offset").alias("high"))
-        .limit(MAX_SOURCE_PARTITIONS)
         .collect()
     )
     ranges = {r["partition"]: (r["low"], r["high"] + 1) for r in bounds}
     resolved: dict[int, int] = {}
     for part, offset in positions.items():
+        # the log has no row of a partition that is not listed
         low, end = ranges.get(part, (0, 0))
         if low <= offset <= end:
             resolved[part] = offset

@@ -1,6 +1,7 @@
 from datetime import datetime
 
 import model
+import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -116,3 +117,23 @@ def test_sort_job_writes_flushes_and_rejects(spark, tmp_path):
     rows = [(r["flush_id"], r["pos"], r["payload"]) for r in sink.read_flushes(spark, out).collect()]
     assert rows == [(0, 1, "A"), (0, 2, "C"), (1, 1, "B")]
     assert [(r["offset"], r["reason"]) for r in spark.read.parquet(bad).collect()] == [(2, "malformed json")]
+
+
+def test_events_without_type_payload_or_time_are_not_lost(spark, tmp_path):
+    from siftline.operators import buffer as buf
+    from siftline.plans.sort_job import sort_log
+    from siftline.sinks.committed import read_flushes
+
+    rows = [(0, 1, None, "1", "a"), (0, 2, None, "2", "b"), (0, 3, "A", "1", None), (0, 4, "A", "2", "c")]
+    events = spark.createDataFrame(rows, "partition int, offset long, eventType string, id string, payload string")
+    events = events.selectExpr("*", "1L AS flush_id")
+    with pytest.raises(Exception, match="missing type"):
+        buf.buffer_and_sort(events).collect()
+    assert buf.buffer_and_sort(events, on_bad_event="reject").count() == 1
+    assert [r["reason"] for r in buf.bad_events(events).orderBy("offset").collect()] == ["missing type"] * 2 + ["missing payload"]
+
+    good, path, rejects = '{"eventType":"A","id":"1","payload":"x"}', str(tmp_path / "out"), str(tmp_path / "rejects")
+    log = spark.createDataFrame([(0, 1, None, good, "2024-01-01 00:10:00"), (0, 2, None, good, None), (0, 3, None, "{bad", None)], "partition int, offset long, key string, value string, at string")
+    sort_log(log.selectExpr("*", "CAST(at AS timestamp) AS ts"), buf.flush_window("1 hour"), path, rejects)
+    assert read_flushes(spark, path).count() == 1
+    assert sorted(r["reason"] for r in spark.read.parquet(rejects).collect()) == ["malformed json", "missing time"]

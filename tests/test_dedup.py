@@ -228,3 +228,21 @@ def test_job_can_be_scoped_to_partitions(spark, log, root):
     assert [tuple(r) for r in job.output().select("partition", "offset").orderBy("partition").collect()] == [
         (0, 1), (1, 1), (2, 2),
     ]
+
+
+def test_a_failed_attempt_leaves_nothing_under_dynamic_overwrite(spark, log, root):
+    from siftline.session import session_conf
+    from siftline.sinks import committed as sink
+
+    def fail(rows, batch_id):
+        raise RuntimeError("no")
+
+    first = log((0, 1, "a"), (0, 2, None)).selectExpr("*", "IF(key IS NULL, NULL, false) AS is_duplicate")
+    again = log((0, 1, "a")).selectExpr("*", "false AS is_duplicate")
+    with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        with pytest.raises(RuntimeError):
+            sink.commit_batch(first, root, 0, fail)
+        assert sink.read_output(spark, root).count() == 0
+        sink.commit_batch(again, root, 0)
+    assert sink.read_output(spark, root, "reject").count() == 0
+    assert [r["n_in"] for r in sink.commits(spark, root).collect()] == [1]

@@ -134,3 +134,19 @@ def test_only_named_columns_are_scanned(spark):
     table = logs.read_table(spark, SF_DIR, "events")
     plan = logs.to_records(table, "event_id", "event_type", None)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<event_id:bigint,event_type:string>" in plan
+
+
+def test_position_filter_reaches_the_scan_with_many_partitions(spark, log, tmp_path):
+    path = str(tmp_path / "log")
+    log(*[(p, o, "a") for p in range(200) for o in (1, 4, 9)]).write.parquet(path)
+    committed = {p: 3 + p % 2 for p in range(200)}
+    resumed = pos.resume_after(spark.read.parquet(path), committed)
+    plan = resumed._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(offset,4)" in plan.split("PushedFilters: [")[1]
+    assert offsets(resumed) == sorted((p, o) for p in range(200) for o in (1, 4, 9) if o > committed[p])
+
+
+def test_no_partition_is_left_out_of_the_bounds(spark, log):
+    records = log(*[(p, o, "a") for p in range(300) for o in (1, 2)])
+    assert offsets(pos.start_at(records, {p: 99 for p in range(300)}, "latest")) == []
+    assert len(offsets(pos.start_at(records, {p: 99 for p in range(300)}, "earliest"))) == 600
