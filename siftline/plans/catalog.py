@@ -791,21 +791,20 @@ def b7_long_windows(spark: SparkSession, d: str) -> DataFrame:
 
 
 @register(
-    """WITH e AS (SELECT CASE WHEN l_quantity > 2 THEN l_returnflag END AS t, l_linestatus AS i,
-    CASE WHEN l_tax > 0 THEN l_linestatus END AS p, CASE WHEN l_discount > 0 THEN l_shipdate END AS ts FROM lineitem),
-    r AS (SELECT *, CASE WHEN t IS NULL THEN 'missing type' WHEN p IS NULL THEN 'missing payload'
-    WHEN ts IS NULL THEN 'missing time' END AS reason FROM e)
+    """WITH r AS (SELECT CASE WHEN o_orderkey % 7 = 0 THEN 'missing type'
+    WHEN o_orderkey % 5 = 0 THEN 'missing payload' WHEN o_orderkey % 3 = 0 THEN 'missing time' END AS reason FROM orders)
     SELECT coalesce(reason, 'flushed or superseded') AS outcome, count(*) AS n FROM r GROUP BY 1"""
 )
 def b1_no_event_is_lost(spark: SparkSession, d: str) -> DataFrame:
     """Flushed, superseded and rejected events add up to the input, with nulls in every field."""
-    events = read_table(spark, d, "lineitem").select(
+    number = F.col("o_orderkey")
+    events = read_table(spark, d, "orders").select(
         F.lit(0).alias("partition"),
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("offset"),
-        F.when(F.col("l_quantity") > 2, F.col("l_returnflag")).alias("eventType"),
-        F.col("l_linestatus").alias("id"),
-        F.when(F.col("l_tax") > 0, F.col("l_linestatus")).alias("payload"),
-        F.when(F.col("l_discount") > 0, F.col("l_shipdate").cast("timestamp")).alias("ts"),
+        number.alias("offset"),
+        F.when(number % 7 != 0, F.col("o_orderstatus")).alias("eventType"),
+        F.when(number % 11 != 0, number % 100).alias("id"),
+        F.when(number % 5 != 0, F.col("o_orderpriority")).alias("payload"),
+        F.when(number % 3 != 0, F.col("o_orderdate").cast("timestamp")).alias("ts"),
     )
     flushed = events.withColumn("flush_id", buf.flush_window("1 day"))
     untimed = F.when(F.col("flush_id").isNull(), "missing time")
