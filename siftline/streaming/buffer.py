@@ -129,11 +129,12 @@ def _start_sorted(
     flush: str,
     across_lanes: bool,
     interval: str | None,
+    query_name: str | None,
 ) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
         write_flushes(emit(sort_flushes(batch, flush, across_lanes), flush), path, flush)
 
-    return start_batches(buffered, write, checkpoint, interval)
+    return start_batches(buffered, write, checkpoint, interval, query_name=query_name)
 
 
 def start_trigger_sort(
@@ -142,6 +143,7 @@ def start_trigger_sort(
     checkpoint: str,
     interval: str | None = "2 seconds",
     across_lanes: bool = False,
+    query_name: str | None = None,
 ) -> StreamingQuery:
     """Flush on a wall-clock trigger, with the micro-batch as the buffer.
 
@@ -155,7 +157,7 @@ def start_trigger_sort(
         rows = batch.withColumn("flush_id", F.lit(batch_id).cast("bigint"))
         write_flushes(buffer_and_sort(rows, across_lanes=across_lanes), path)
 
-    return start_batches(events, write, checkpoint, interval)
+    return start_batches(events, write, checkpoint, interval, query_name=query_name)
 
 
 def start_buffer_sort(
@@ -166,6 +168,7 @@ def start_buffer_sort(
     shards: int | None = None,
     across_lanes: bool = False,
     trigger_interval: str = "1 second",
+    query_name: str | None = None,
 ) -> StreamingQuery:
     """Flush a stateful buffer on a wall-clock interval; each flush goes to its own folder, sorted.
 
@@ -181,6 +184,7 @@ def start_buffer_sort(
         "flush_id",
         across_lanes,
         trigger_interval,
+        query_name,
     )
 
 
@@ -210,6 +214,7 @@ def start_window_sort(
     ts: str = "ts",
     across_lanes: bool = False,
     trigger_interval: str | None = None,
+    query_name: str | None = None,
 ) -> StreamingQuery:
     """Flush event-time windows; without ``trigger_interval``, read what is there and end."""
     return _start_sorted(
@@ -219,6 +224,7 @@ def start_window_sort(
         "flush_start",
         across_lanes,
         trigger_interval,
+        query_name,
     )
 
 

@@ -31,6 +31,7 @@ def start_batches(
     checkpoint: str,
     interval: str | None = None,
     output_mode: str = "append",
+    query_name: str | None = None,
 ) -> StreamingQuery:
     """Hand each non-empty micro-batch to ``write``; without ``interval``, until the input is used up.
 
@@ -57,6 +58,8 @@ def start_batches(
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
     )
+    if query_name is not None:
+        writer = writer.queryName(query_name)
     return start_exclusive(rows.sparkSession, writer)
 
 
@@ -87,6 +90,15 @@ def run_until(query: StreamingQuery, done: Callable[[], bool], timeout: float =
         query.stop()
 
 
+def wait_for(done: Callable[[], bool], timeout: float = 120) -> None:
+    """Return when ``done`` holds; raise when that takes too long."""
+    deadline = time.monotonic() + timeout
+    while not done():
+        if time.monotonic() > deadline:
+            raise TimeoutError(f"not done after {timeout} s")
+        time.sleep(0.2)
+
+
 def print_stream(rows: DataFrame, label: str = "output", interval: str = "2 seconds") -> DataStreamWriter:
     """Console writer; the label becomes the query name."""
     return (

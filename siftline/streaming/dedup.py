@@ -73,6 +73,7 @@ def start_dedup(
     on_null_key: str = "reject",
     on_kickouts: KickoutHandler | None = None,
     interval: str | None = None,
+    query_name: str | None = None,
 ) -> StreamingQuery:
     """Dedup a stream into committed batches and a registry below ``root``.
 
@@ -96,6 +97,5 @@ def start_dedup(
         reached = commit_batch(flag_records(rows, firsts), root, batch_id, on_kickouts)
         committed |= {p: max(o, committed.get(p, o)) for p, o in reached.items()}
 
-    return start_batches(
-        counted_stream(records, scope, on_null_key), write, checkpoint, interval, output_mode="update"
-    )
+    counted = counted_stream(records, scope, on_null_key)
+    return start_batches(counted, write, checkpoint, interval, "update", query_name)

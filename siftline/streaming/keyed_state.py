@@ -132,6 +132,7 @@ def start_keyed_dedup(
     on_kickouts: KickoutHandler | None = None,
     interval: str | None = None,
     restore: DataFrame | None = None,
+    query_name: str | None = None,
 ) -> StreamingQuery:
     """Dedup a stream into committed batches below ``root``.
 
@@ -143,9 +144,8 @@ def start_keyed_dedup(
     def write(batch: DataFrame, batch_id: int) -> None:
         commit_batch(flag_keyed_batch(batch), root, batch_id, on_kickouts)
 
-    return start_batches(
-        keyed_stream(records, scope, ttl_seconds, on_null_key, restore), write, checkpoint, interval
-    )
+    keyed = keyed_stream(records, scope, ttl_seconds, on_null_key, restore)
+    return start_batches(keyed, write, checkpoint, interval, query_name=query_name)
 
 
 def live_registry(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:

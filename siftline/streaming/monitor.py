@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from ..sinks.committed import commits
+
 PROGRESS = T.StructType(
     [
         T.StructField("query_id", T.StringType()),
@@ -33,6 +38,9 @@ STATE = T.StructType(
 )
 
 
+RUN_STATE = T.StructType([T.StructField("run_id", T.StringType()), *STATE.fields])
+
+
 def _row(progress) -> tuple:
     states = progress.stateOperators
     sources = progress.sources
@@ -55,11 +63,10 @@ def progress_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     return spark.createDataFrame([_row(p) for p in query.recentProgress], PROGRESS)
 
 
-def state_report(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Per recent micro-batch and stateful operator: entries, memory and time to load the state."""
-    rows = [
+def _state_rows(progress) -> list[tuple]:
+    return [
         (
-            p.batchId,
+            progress.batchId,
             s.operatorName,
             s.numShufflePartitions,
             s.numRowsTotal,
@@ -67,20 +74,31 @@ def state_report(spark: SparkSession, query: StreamingQuery) -> DataFrame:
             s.customMetrics.get("rocksdbLoadLatencyMs"),
             s.numRowsDroppedByWatermark,
         )
-        for p in query.recentProgress
-        for s in p.stateOperators
+        for s in progress.stateOperators
     ]
-    return spark.createDataFrame(rows, STATE)
 
 
-class CommitLog(StreamingQueryListener):
-    """Appends one row per finished micro-batch to a table folder."""
+def state_report(spark: SparkSession, query: StreamingQuery) -> DataFrame:
+    """Per recent micro-batch and stateful operator: entries, memory and time to load the state.
+
+    Spark keeps a fixed number of micro-batches of one run; :class:`StateLog` keeps all of all runs.
+    """
+    return spark.createDataFrame([r for p in query.recentProgress for r in _state_rows(p)], STATE)
+
+
+class _ProgressLog(StreamingQueryListener):
+    """Appends rows per finished micro-batch to a table folder, of one query name or of all."""
+
+    schema: T.StructType
 
     def __init__(self, spark: SparkSession, path: str, name: str | None = None):
         self._spark = spark
         self._path = path
         self._name = name
 
+    def rows(self, progress) -> list[tuple]:
+        raise NotImplementedError
+
     def onQueryStarted(self, event) -> None:
         pass
 
@@ -88,11 +106,59 @@ class CommitLog(StreamingQueryListener):
         progress = event.progress
         if self._name is not None and progress.name != self._name:
             return
-        row = self._spark.createDataFrame([_row(progress)], PROGRESS)
-        row.coalesce(1).write.mode("append").parquet(self._path)
+        found = self.rows(progress)
+        if found:
+            self._spark.createDataFrame(found, self.schema).coalesce(1).write.mode("append").parquet(self._path)
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
         pass
+
+
+class CommitLog(_ProgressLog):
+    """One row per finished micro-batch.
+
+    A dedup stream reads its source twice per batch, and Spark's count of input rows
+    has both. With ``root``, its output folder, the count is that of the batch's
+    commit marker: the records read, 0 for a batch that left no marker.
+    """
+
+    schema = PROGRESS
+
+    def __init__(self, spark: SparkSession, path: str, name: str | None = None, root: str | None = None):
+        super().__init__(spark, path, name)
+        self._root = root
+
+    def rows(self, progress) -> list[tuple]:
+        row = dict(zip(PROGRESS.fieldNames(), _row(progress)))
+        if self._root is not None:
+            marker = commits(self._spark, self._root).where(F.col("batch_id") == progress.batchId)
+            row["input_rows"] = marker.agg(F.sum("n_in")).first()[0] or 0
+        return [tuple(row.values())]
+
+
+class StateLog(_ProgressLog):
+    """One row per finished micro-batch and stateful operator, with the run it belongs to.
+
+    The first batch of a run shows what was restored: its ``state_rows`` hold the
+    entries of earlier runs, ``load_ms`` the time it took to load them.
+    """
+
+    schema = RUN_STATE
+
+    def rows(self, progress) -> list[tuple]:
+        return [(str(progress.runId), *r) for r in _state_rows(progress)]
+
+
+@contextmanager
+def logged(spark: SparkSession, *logs: StreamingQueryListener) -> Iterator[None]:
+    """Have the listeners on for the duration of a block."""
+    for log in logs:
+        spark.streams.addListener(log)
+    try:
+        yield
+    finally:
+        for log in logs:
+            spark.streams.removeListener(log)
