@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import event_json as ej, events as ev
 from ..functions.keys import hashed_key, plain_key, with_key
@@ -1027,19 +1027,54 @@ def b7_stream_event_time_flush(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _dedup_by_parts(spark: SparkSession, d: str, *logs: Callable[[str, str], monitor.StreamingQueryListener]) -> list[str]:
+    """The log arrives in four parts, each a micro-batch of a query started anew.
+
+    ``logs`` make listeners from (path, root); their tables' paths are returned, once
+    they have a row for each part: events of a query arrive after it ended.
+    """
+    log = event_log(spark, d)
+    source, root, checkpoint = (scratch_path(spark, label) for label in ("parts", "stream", "stream-state"))
+    size = log.select(F.ceil((F.max("offset") + 1) / LANES)).first()[0]
+    paths = [scratch_path(spark, "progress") for _ in logs]
+    with monitor.logged(spark, *[make(path, root) for make, path in zip(logs, paths)]):
+        for part in range(LANES):
+            log.where(F.floor(F.col("offset") / size) == part).write.mode("append").parquet(source)
+            rows = stream_files(spark, source, log.schema)
+            control.run_to_end(sdedup.start_dedup(rows, root, checkpoint, query_name=_QUERY_NAME))
+        control.wait_for(lambda: all(_parts_logged(spark, path) == LANES for path in paths))
+    return paths
+
+
+_QUERY_NAME = "siftline_dedup"
+
+
+def _parts_logged(spark: SparkSession, path: str) -> int:
+    batch = T.StructType([T.StructField("batch_id", T.LongType())])
+    return sink.read_or_empty(spark, path, batch).distinct().count()
+
+
 @register(
-    """SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS n_in,
-    count(DISTINCT event_type || ' ' || user_id) AS n_unique FROM events"""
+    f"""SELECT "offset" // {_QUARTER} AS batch_id, count(*) AS input_rows, '{_QUERY_NAME}' AS name
+    FROM {_LOG} GROUP BY 1"""
 )
 def m2_commit_log(spark: SparkSession, d: str) -> DataFrame:
-    root, _, _ = _run_dedup(spark, d)
-    return sink.commits(spark, root).select("batch_id", "n_in", "n_unique")
+    """The commit log of a named dedup stream over four micro-batches and as many runs."""
+    made = lambda path, root: monitor.CommitLog(spark, path, _QUERY_NAME, root)
+    (path,) = _dedup_by_parts(spark, d, made)
+    return spark.read.parquet(path).select("batch_id", "input_rows", "name")
 
 
 @register(
-    """SELECT CAST(0 AS BIGINT) AS batch_id, count(DISTINCT event_type || ' ' || user_id) AS state_rows
-    FROM events"""
+    f"""WITH r AS (SELECT "offset" // {_QUARTER} AS b, row_number() OVER (PARTITION BY "key"
+    ORDER BY "offset") = 1 AS new FROM {_LOG}), n AS (SELECT b, count(*) FILTER (new) AS n FROM r GROUP BY 1)
+    SELECT b AS batch_id, CAST(sum(n) OVER (ORDER BY b) AS BIGINT) AS state_rows, CAST(1 AS BIGINT) AS runs FROM n"""
 )
 def m3_state_report(spark: SparkSession, d: str) -> DataFrame:
-    _, _, query = _run_dedup(spark, d)
-    return monitor.state_report(spark, query).select("batch_id", "state_rows")
+    """Entries in the state after each part; from the second on, restored ones included."""
+    (path,) = _dedup_by_parts(spark, d, lambda path, root: monitor.StateLog(spark, path, _QUERY_NAME))
+    return (
+        spark.read.parquet(path)
+        .groupBy("batch_id")
+        .agg(F.sum("state_rows").alias("state_rows"), F.count_distinct("run_id").alias("runs"))
+    )

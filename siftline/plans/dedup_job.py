@@ -8,26 +8,40 @@ the same batch id.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Callable
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.keys import guard_key
 from ..operators.dedup import first_positions, flag_records
-from ..operators.registry import unregistered
+from ..operators.registry import purge, rebuild, unregistered
+from ..schemas import COMMITTED
 from ..session import settle
+from ..sinks import committed as sink
 from ..sinks.committed import (
     KickoutHandler,
     commit_batch,
     commits,
-    committed_positions,
     last_batch,
     read_output,
     read_registry,
     write_entries,
 )
-from ..sources.positions import collect_positions, next_batch, resume_after
+from ..sinks.writer import single_writer
+from ..sources.positions import RESET_POLICIES, collect_positions, next_batch, resume_after, start_at
+from ..streaming.dedup import delivered_again
+
 
 class DedupJob:
-    """Dedup a log run by run; the state lives in files below ``root``."""
+    """Dedup a log run by run; the state lives in files below ``root``.
+
+    ``reset`` says what happens when a committed position is not in the log any more:
+    ``none`` raises, ``earliest`` reads that source partition from its first record,
+    ``latest`` skips the records it has now. Without it, whatever lies after the
+    position is read, and nothing is checked. Only one run may write at a time; another
+    one raises :class:`~siftline.sinks.writer.WriterExists`.
+    """
 
     def __init__(
         self,
@@ -37,17 +51,25 @@ class DedupJob:
         seen: str | None = None,
         on_null_key: str = "reject",
         on_kickouts: KickoutHandler | None = None,
+        reset: str | None = None,
     ):
+        if reset is not None and reset not in RESET_POLICIES:
+            raise ValueError(f"reset must be one of {RESET_POLICIES}")
         self._spark = spark
         self._root = root
         self._scope = scope
         self._seen = seen
         self._on_null_key = on_null_key
         self._on_kickouts = on_kickouts
+        self._reset = reset
+
+    def _positions(self) -> DataFrame:
+        done = sink.since_snapshot(self._spark, self._root)
+        return done.groupBy("partition").agg(F.max_by("offset", "batch_id").alias("offset"))
 
     def positions(self) -> dict[int, int]:
-        """Last committed offset per source partition."""
-        return collect_positions(committed_positions(self._spark, self._root))
+        """Last committed offset per source partition: that of its newest batch."""
+        return collect_positions(self._positions())
 
     def commits(self) -> DataFrame:
         return commits(self._spark, self._root)
@@ -60,13 +82,54 @@ class DedupJob:
         newest = last_batch(self._spark, self._root)
         return read_registry(self._spark, self._root, newest if as_of is None else min(as_of, newest))
 
+    def compact(self) -> None:
+        """Put all entries and positions into one snapshot, so that later runs open few files.
+
+        The batches stay; ``registry(as_of=)`` of an earlier batch reads them.
+        """
+        self._snapshot(self.registry)
+
+    def purge(self, cutoff: datetime | str | Column) -> None:
+        """Forget keys first seen before the cut-off: they count as new when they return."""
+        self._snapshot(lambda: purge(self.registry(), cutoff))
+
+    def _snapshot(self, entries: Callable[[], DataFrame]) -> None:
+        with single_writer(self._spark, self._root):
+            newest = last_batch(self._spark, self._root)
+            # a snapshot of this very batch would be read while it is overwritten
+            sink.snapshot(settle(entries()), settle(self._positions()), self._root, newest)
+
+    def restore(self, entries: DataFrame, positions: dict[int, int]) -> None:
+        """Start a new root from a backup or a rebuilt registry, and after the given positions."""
+        with single_writer(self._spark, self._root):
+            if not sink.since_snapshot(self._spark, self._root).isEmpty():
+                raise ValueError(f"{self._root} has batches already")
+            at = self._spark.createDataFrame(list(positions.items()), COMMITTED)
+            sink.write_start(entries, at, self._root)
+
+    def rebuild(self, log: DataFrame, positions: dict[int, int]) -> None:
+        """Start a new root from the input log alone, as of the given positions."""
+        seen = "first_seen" if self._seen is None else self._seen
+        stamped = log if self._seen is not None else log.withColumn(seen, F.date_trunc("second", F.current_timestamp()))
+        stamped = stamped.withColumn(seen, F.col(seen).cast("timestamp"))
+        self.restore(rebuild(stamped, positions, self._scope, seen), positions)
+
     def run(self, log: DataFrame, max_offsets: int | None = None) -> int | None:
         """Process what is new as one batch; its id, or None if there was nothing.
 
         ``max_offsets`` bounds the batch per source partition; call again for the rest.
         """
+        with single_writer(self._spark, self._root):
+            return self._run(log, max_offsets)
+
+    def _run(self, log: DataFrame, max_offsets: int | None) -> int | None:
         positions = self.positions()
-        news = resume_after(log, positions) if max_offsets is None else next_batch(log, positions, max_offsets)
+        if self._reset is None:
+            news = resume_after(log, positions)
+        else:
+            news = start_at(log, {p: o + 1 for p, o in positions.items()}, self._reset)
+        if max_offsets is not None:
+            news = next_batch(news, {}, max_offsets)
         fresh = guard_key(news, self._on_null_key)
         if fresh.isEmpty():
             return None
@@ -77,7 +140,11 @@ class DedupJob:
         stamped = fresh.withColumn("_seen", seen.cast("timestamp"))
         firsts = settle(first_positions(stamped, self._scope, "_seen"))
         added = write_entries(unregistered(firsts, known, self._scope), self._root, batch_id)
-        # Earlier entries lie at or before the committed positions and the batch
-        # after them, so only its own entries can be matched.
-        commit_batch(flag_records(fresh, added), self._root, batch_id, self._on_kickouts)
+        # Earlier entries lie at or before the committed positions and the batch after
+        # them, so only its own entries can be matched, unless a reset went back.
+        firsts = added.drop("first_seen")
+        again = None if self._reset is None else delivered_again(fresh, positions)
+        if again is not None:
+            firsts = firsts.unionByName(known.drop("first_seen").join(again, ["first_offset", "partition", "key"], "left_semi"))
+        commit_batch(flag_records(fresh, firsts), self._root, batch_id, self._on_kickouts)
         return batch_id

@@ -1,0 +1,46 @@
+"""One writer per output folder, by a file that only one of them can create."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import SparkSession
+
+_FILE = "_writer"
+
+
+class WriterExists(RuntimeError):
+    """Another run writes below this root, or one was killed while it did."""
+
+
+def _place(spark: SparkSession, root: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{_FILE}")
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+@contextmanager
+def single_writer(spark: SparkSession, root: str) -> Iterator[None]:
+    """Hold the root for the duration of a block.
+
+    The file is created if it is not there, which file systems such as HDFS do as one
+    step. A driver that is killed leaves it behind: see :func:`release`.
+    """
+    path, files = _place(spark, root)
+    try:
+        files.create(path, False).close()
+    except Py4JJavaError as e:
+        if not files.exists(path):
+            raise
+        raise WriterExists(f"{root} has a writer; after a killed run, release it first") from e
+    try:
+        yield
+    finally:
+        files.delete(path, False)
+
+
+def release(spark: SparkSession, root: str) -> None:
+    """Free a root whose writer was killed. Make sure first that none is running."""
+    path, files = _place(spark, root)
+    files.delete(path, False)

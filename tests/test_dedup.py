@@ -246,3 +246,80 @@ def test_a_failed_attempt_leaves_nothing_under_dynamic_overwrite(spark, log, roo
         sink.commit_batch(again, root, 0)
     assert sink.read_output(spark, root, "reject").count() == 0
     assert [r["n_in"] for r in sink.commits(spark, root).collect()] == [1]
+
+
+def test_a_second_writer_is_refused_and_harms_nothing(spark, log, root):
+    from siftline.sinks.writer import WriterExists, release, single_writer
+
+    refused = []
+
+    def overlap(_rows, _batch_id):
+        with pytest.raises(WriterExists):
+            DedupJob(spark, root).run(log((0, 0, "a"), (0, 1, "a"), (0, 2, "z")))
+        refused.append(True)
+
+    job = DedupJob(spark, root, on_kickouts=overlap)
+    assert job.run(log((0, 0, "a"), (0, 1, "a"))) == 0 and refused == [True]
+    assert values(job.output()) == ["a"]
+    assert DedupJob(spark, root).run(log((0, 2, "b"))) == 1
+    killed = single_writer(spark, root)
+    killed.__enter__()
+    with pytest.raises(WriterExists):
+        DedupJob(spark, root).run(log((0, 3, "c")))
+    release(spark, root)
+    assert DedupJob(spark, root).run(log((0, 3, "c"))) == 2
+
+
+def test_reset_policies_of_the_job(spark, log, root):
+    from siftline.sources.positions import OffsetOutOfRange
+
+    DedupJob(spark, root).run(log((0, 0, "a"), (0, 1, "b")))
+    cut = log((0, 5, "a"), (0, 6, "c"))
+    with pytest.raises(OffsetOutOfRange):
+        DedupJob(spark, root, reset="none").run(cut)
+    assert DedupJob(spark, root, reset="latest").run(cut) is None
+    assert DedupJob(spark, root, reset="earliest").run(cut, max_offsets=1) == 1
+    job = DedupJob(spark, root, reset="earliest")
+    assert job.run(cut) == 2 and job.run(cut) is None
+    assert values(job.output()) == ["a", "b", "c"] and values(job.output("kickout")) == ["a"]
+    # a log that was made anew: what stands at its registered position passes again
+    anew = log((0, 0, "a"), (0, 1, "d"))
+    assert job.run(anew) == 3 and job.positions() == {0: 1}
+    assert job.run(anew) is None
+    assert values(job.output().where("batch_id = 3")) == ["a", "d"]
+    with pytest.raises(ValueError):
+        DedupJob(spark, root, reset="sometimes")
+
+
+def test_compaction_opens_few_markers(spark, log, root):
+    rows = [(0, o, k) for o, k in enumerate("abcad")]
+    job = DedupJob(spark, root)
+    while job.run(log(*rows), max_offsets=1) is not None:
+        pass
+    before = entries(job.registry())
+    job.compact()
+    job.compact()
+    opened = sink.since_snapshot(spark, root).select(F.input_file_name().alias("f")).where("f <> ''").distinct()
+    assert opened.where("f not like '%/snapshot/%'").count() == 0
+    assert entries(job.registry()) == before and job.positions() == {0: 4}
+    assert set(entries(job.registry(as_of=1))) == {"a", "b"}
+    assert job.run(log(*rows, (0, 5, "b"), (0, 6, "e"))) == 5
+    assert values(job.output().where("batch_id = 5")) == ["e"]
+    assert set(entries(job.registry())) == {"a", "b", "c", "d", "e"}
+
+
+def test_restore_and_rebuild_into_a_new_root(spark, log, root):
+    rows = [(0, 0, "a"), (0, 1, "b"), (0, 2, "a")]
+    old = DedupJob(spark, f"{root}-old")
+    old.run(log(*rows))
+    reg.backup(old.registry(), f"{root}-backup", 0)
+    restored, rebuilt = DedupJob(spark, f"{root}-1"), DedupJob(spark, f"{root}-2")
+    restored.restore(reg.restore(spark, f"{root}-backup", 0), old.positions())
+    rebuilt.rebuild(log(*rows), old.positions())
+    for job in (restored, rebuilt):
+        assert job.output().count() == 0 and job.positions() == {0: 2}
+        assert entries(job.registry()) == entries(old.registry())
+        assert job.run(log(*rows, (0, 3, "b"), (0, 4, "c"))) == 0
+        assert values(job.output()) == ["c"] and values(job.output("kickout")) == ["b"]
+        with pytest.raises(ValueError):
+            job.restore(old.registry(), {})
