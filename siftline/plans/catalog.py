@@ -651,6 +651,70 @@ def d12_backup_and_restore(spark: SparkSession, d: str) -> DataFrame:
     return reg.restore(spark, path, batch_id=0).drop("partition")
 
 
+def _midway_job(spark: SparkSession, log: DataFrame, reset: str | None = None) -> DedupJob:
+    """A job that has run over the early part of the log, as its batch 0."""
+    job = DedupJob(spark, scratch_path(spark, "job"), seen="ts", reset=reset)
+    job.run(pos.up_to(log, _midway(log)))
+    return job
+
+
+def _flagged_batch(job: DedupJob, batch_id: int) -> DataFrame:
+    sides = [job.output(o).withColumn("is_duplicate", F.lit(o == "kickout")) for o in ("unique", "kickout")]
+    both = sides[0].unionByName(sides[1]).where(F.col("batch_id") == batch_id)
+    return both.select("offset", "key", "is_duplicate")
+
+
+@register(
+    f"""{_EXTENDED} SELECT "offset", "key", "key" IN (SELECT "key" FROM known
+    WHERE first_seen >= TIMESTAMP '{PURGE}') OR "offset" <> min("offset") OVER (PARTITION BY "key")
+    AS is_duplicate FROM late"""
+)
+def d10_job_after_purge(spark: SparkSession, d: str) -> DataFrame:
+    """The incremental job forgets old keys between two runs."""
+    log = event_log(spark, d, LANES)
+    job = _midway_job(spark, log)
+    job.purge(F.lit(PURGE).cast("timestamp_ntz"))
+    job.run(log)
+    return _flagged_batch(job, 1)
+
+
+_LATE = """SELECT "offset", "key", "key" IN (SELECT "key" FROM known)
+    OR "offset" <> min("offset") OVER (PARTITION BY "key") AS is_duplicate FROM late"""
+
+
+@register(f"{_EXTENDED} {_LATE}")
+def d11_job_rebuilt(spark: SparkSession, d: str) -> DataFrame:
+    """A job whose files are lost goes on from the input log and the committed positions."""
+    log = event_log(spark, d, LANES)
+    job = DedupJob(spark, scratch_path(spark, "rebuilt"), seen="ts")
+    job.rebuild(log, _midway(log))
+    job.run(log)
+    return _flagged_batch(job, 0)
+
+
+@register(f"{_EXTENDED} {_LATE}")
+def d12_job_from_backup(spark: SparkSession, d: str) -> DataFrame:
+    """A job goes on in a new place from a backup of its registry."""
+    log = event_log(spark, d, LANES)
+    old, path = _midway_job(spark, log), scratch_path(spark, "backup")
+    reg.backup(old.registry(), path, batch_id=0)
+    job = DedupJob(spark, scratch_path(spark, "restored"), seen="ts")
+    job.restore(reg.restore(spark, path, batch_id=0), old.positions())
+    job.run(log)
+    return _flagged_batch(job, 0)
+
+
+@register(f"""{_EXTENDED} {_LATE} WHERE "offset" >= (SELECT max(event_id) * 3 // 4 FROM events)""")
+def s4_job_reset_to_earliest(spark: SparkSession, d: str) -> DataFrame:
+    """The log was cut beyond the job's positions; it goes on from what is left, after a compaction."""
+    log = event_log(spark, d, LANES)
+    job = _midway_job(spark, log, reset="earliest")
+    job.compact()
+    cut = log.select(F.floor(F.max("offset") * 3 / 4)).first()[0]
+    job.run(log.where(F.col("offset") >= cut))
+    return _flagged_batch(job, 1)
+
+
 @register(
     f"""SELECT "offset", "key", "value", ts FROM {_LOG}
     QUALIFY row_number() OVER (PARTITION BY "key" ORDER BY "offset" DESC) = 1"""
