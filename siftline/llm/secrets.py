@@ -31,6 +31,8 @@ LIMIT = 8.0
 DISTINCT = 6
 
 SPAN = "array<struct<start:int,kind:int,end:int,ok:boolean>>"
+# Spans are gathered in blocks of this length.
+BLOCK = 256
 
 
 def matches(text: Column, pattern: str, may: Column, group: int, least: int) -> Column:
@@ -51,16 +53,51 @@ def matches(text: Column, pattern: str, may: Column, group: int, least: int) ->
     )
 
 
+def grow(full: Column, out: Column, s: Column) -> tuple[Column, Column]:
+    """``full, out`` with one more span: a block that is full moves to ``full`` as a whole.
+
+    Appending copies an array, so one long array would cost the square of its length.
+    """
+    filled = F.size(out) >= BLOCK
+    return F.when(filled, F.array_append(full, out)).otherwise(full), F.when(filled, F.array(s)).otherwise(F.array_append(out, s))
+
+
 def positions(found: Column, kind: int) -> Column:
     """Turn sizes of consecutive pieces into spans."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
+    none = F.array().cast(SPAN)
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("full"), none.alias("out"))
 
     def add(state: Column, m: Column) -> Column:
         end = state.at + m["size"]
         span = F.struct((end - m.own).alias("start"), F.lit(kind).alias("kind"), end.alias("end"), m.ok.alias("ok"))
-        return F.struct(end.alias("at"), F.array_append(state.out, span).alias("out"))
+        full, out = grow(state.full, state.out, span)
+        return F.struct(end.alias("at"), full.alias("full"), out.alias("out"))
+
+    spans = F.aggregate(found, start, add, lambda s: F.flatten(F.array_append(s.full, s.out)))
+    return F.when(F.size(found) > 0, spans).otherwise(none)
 
-    return F.when(F.size(found) > 0, F.aggregate(found, start, add, lambda s: s.out)).otherwise(F.array().cast(SPAN))
+
+def untouched(spans: Column, base: Column) -> Column:
+    """The spans, none of which overlap, that no base span touches: one sweep over both in order.
+
+    A base span before a span may reach into it; one after its start takes it back.
+    """
+    none = F.array().cast(SPAN)
+    start = F.struct(F.lit(0).alias("reach"), F.array().cast(f"array<{SPAN}>").alias("full"), none.alias("out"))
+
+    def add(state: Column, s: Column) -> Column:
+        is_base = s.kind != len(KINDS) - 1
+        free = ~is_base & (state.reach <= s.start)
+        back = is_base & F.coalesce(F.get(state.out, F.size(state.out) - 1)["end"] > s.start, F.lit(False))
+        full, out = grow(state.full, state.out, s)
+        return F.struct(
+            F.when(is_base, F.greatest(state.reach, s.end)).otherwise(state.reach).alias("reach"),
+            F.when(free, full).otherwise(state.full).alias("full"),
+            F.when(free, out).when(back, F.slice(state.out, F.lit(1), F.size(state.out) - 1)).otherwise(state.out).alias("out"),
+        )
+
+    left = F.aggregate(F.sort_array(F.concat(base, spans)), start, add, lambda s: F.flatten(F.array_append(s.full, s.out)))
+    return F.when(F.size(spans) > 0, left).otherwise(none)
 
 
 def base_spans(text: Column) -> Column:
@@ -165,10 +202,7 @@ def random_spans(text: Column, base: Column, ratios: np.ndarray, limit: float) -
             ).alias("ok"),
         ),
     )
-    return F.filter(
-        positions(found, 3),
-        lambda s: s.ok & ~F.exists(base, lambda b: (b.start < s.end) & (b.end > s.start)),
-    )
+    return untouched(F.filter(positions(found, 3), lambda s: s.ok), base)
 
 
 def joined(spans: Column) -> Column:

@@ -1,10 +1,12 @@
 """Quality, mixing, sharding, url rules, secrets and licences against plain Python."""
 
 import hashlib
+import random
 from collections import defaultdict
 
 import brute
 import pytest
+from pyspark.sql import functions as F
 
 from siftline.llm import licenses, mixing, quality, secrets, sharding, url_rules
 from siftline.llm.catalog import QUERIES
@@ -181,6 +183,32 @@ def test_secrets(spark, edges, empty):
     assert secrets.scan(empty).count() == 0
 
 
+def test_secrets_of_a_text_with_thousands(spark):
+    many = " ".join(f"token={hashlib.md5(str(i).encode()).hexdigest()[: i % 40]} {hashlib.sha256(str(i).encode()).hexdigest().upper()}" for i in range(3 * secrets.BLOCK + 5))
+    docs = spark.createDataFrame([(1, many, "en", "a", 0), (2, "token=", "en", "a", 0)], DOCS)
+    got = rows(secrets.report(secrets.scan(docs)))
+    check_secrets(rows(docs), got)
+    # where the value is empty, the assignment takes the digits that follow
+    assert {r["doc_id"]: r["n_random"] for r in got} == {1: sum(i % 40 > 0 for i in range(3 * secrets.BLOCK + 5)), 2: 0}
+
+
+def test_untouched_spans(spark):
+    rng = random.Random(5)
+
+    def spans(kind, apart):
+        at, out = 0, []
+        for _ in range(rng.randrange(12)):
+            start = (at if apart else rng.randrange(100)) + rng.randrange(6)
+            at = start + rng.randrange(1, 15)
+            out.append((start, kind, at, True))
+        return out
+
+    data = [(i, spans(3, True), sorted(spans(0, True) + spans(2, False))) for i in range(300)]
+    df = spark.createDataFrame(data, f"id long, spans {secrets.SPAN}, base {secrets.SPAN}")
+    got = {r["id"]: [tuple(s) for s in r["left"]] for r in df.select("id", secrets.untouched(F.col("spans"), F.col("base")).alias("left")).collect()}
+    assert got == {i: [s for s in s3 if not any(b[0] < s[2] and b[2] > s[0] for b in base)] for i, s3, base in data}
+
+
 def test_random_strings_are_told_from_identifiers(spark):
     docs = spark.read.parquet(f"{brute.SF_DIR}/documents.parquet").select("doc_id", "text")
     made = [(10_000_000 + i, f"key {hashlib.sha256(str(i).encode()).hexdigest()[:24].upper()} end") for i in range(40)]
