@@ -14,6 +14,11 @@ present interleave and dealing it out stably by symbol sorts the suffixes by one
 symbol more. The round in which two neighbours part is their common prefix. After DEPTH
 rounds the blocks left are the intervals of suffixes with equal windows, and all of
 a block but its earliest occurrence is repeated. No merged suffix is sorted again.
+
+A passage with ever new surroundings gives its outer minimizers a different piece per
+document. A minimizer with many different pieces is therefore split: its pieces
+are single windows, dealt out by all their bytes. A sample of the texts tells which minimizers
+may be so; any choice of them gives the same result.
 """
 
 from __future__ import annotations
@@ -32,7 +37,13 @@ STEP = 20
 DEPTH = SIZE // STEP
 # A shard holds about so many bytes of pieces.
 SHARD_BYTES = 1 << 20
+# Different pieces of one minimizer from which it is split, as estimated from this part of the rows.
+HOT_PIECES = 1 << 15
+SAMPLED = 1 / 64
+# Hot minimizers are known by these bits of theirs: a table of 2 MB, however many there are.
+HOT_BITS = 24
 
+FOUND = "fp long, piece long, doc_id long, start long, n int"
 PIECE = pa.schema([("fp", pa.int64()), ("piece", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("n", pa.int32())])
 CUT = pa.schema([("fp", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("n", pa.int32()), ("text", pa.binary())])
 
@@ -56,11 +67,12 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[:-rest], x[rest:]) if rest else x
 
 
-def pieces_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+def pieces_of(data: np.ndarray, offsets: np.ndarray, hot: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
     """``fp, piece, text index, start, n`` of the maximal runs of windows with one minimizer.
 
     ``start`` is the first window's place in its text, ``n`` the number of windows, ``piece`` a hash
-    of all their bytes.
+    of all their bytes. The windows of minimizers marked in ``hot`` are pieces of their own, and
+    ``fp`` is then a hash of the window.
     """
     if len(data) < SIZE:
         return tuple(np.zeros(0, dtype=np.int64) for _ in range(5))
@@ -76,10 +88,35 @@ def pieces_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     head = np.flatnonzero(heads(first[window], window - np.arange(len(window))))
     start = window[head]
     n = np.diff(np.append(head, len(window)))
+    fp = grams[first[start]]
+    split = np.zeros(len(fp), dtype=bool) if hot is None else hot[hot_place(fp)]
+    if split.any():
+        times = np.where(split, n, 1)
+        row = np.repeat(np.arange(len(fp)), times)
+        start = start[row] + np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+        fp, n, split = fp[row], np.where(split, 1, n)[row], split[row]
     text = np.searchsorted(offsets, start, side="right") - 1
-    fp = grams[first[start]].view(np.int64)
-    piece = span_hashes(sums, start, start + n + SIZE - 1).view(np.int64)
-    return fp, piece, text, start - offsets[text], n
+    piece = span_hashes(sums, start, start + n + SIZE - 1)
+    fp[split] = mix(piece[split])
+    return fp.view(np.int64), piece.view(np.int64), text, start - offsets[text], n
+
+
+def hot_place(fp: np.ndarray) -> np.ndarray:
+    return (fp >> np.uint64(64 - HOT_BITS)).astype(np.int64)
+
+
+def hot_minimizers(texts: DataFrame, hot_pieces: int, sampled: float) -> np.ndarray | None:
+    """Marks the places of minimizers with about ``hot_pieces`` different pieces or more; None if there are none."""
+    part = texts if sampled >= 1 else texts.sample(sampled, seed=1)
+    pieces = part.mapInArrow(find_pieces(), FOUND).filter("piece is not null").select("fp", "piece").distinct()
+    many = pieces.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= max(2, hot_pieces * sampled))
+    # at most 2 ** HOT_BITS places, whatever the number of minimizers
+    places = many.select(F.shiftrightunsigned("fp", 64 - HOT_BITS).alias("place")).distinct().toArrow()
+    if not places.num_rows:
+        return None
+    marks = np.zeros(1 << HOT_BITS, dtype=bool)
+    marks[places.column("place").to_numpy()] = True
+    return np.packbits(marks)
 
 
 def fold(fp, piece, doc, start, n) -> tuple[np.ndarray, np.ndarray]:
@@ -97,24 +134,30 @@ def rows_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-def find_pieces(batches):
+def find_pieces(sent=None):
     """Pieces per batch, folded inside the batch: a hot piece leaves once per batch.
 
     Later occurrences leave as rows with ``piece`` null, spread by a hash of their place.
+    ``sent`` is the broadcast table of hot minimizers.
     """
-    for batch in batches:
-        ids = np.asarray(batch.column("doc_id"))
-        parts = []
-        for first, last, data, offsets in runs(batch.column("text")):
-            fp, piece, text, start, n = pieces_of(data, offsets)
-            parts.append((fp, piece, ids[first:last][text], start, n))
-        if not parts:
-            continue
-        fp, piece, doc, start, n = (np.concatenate(c) for c in zip(*parts))
-        lead, later = fold(fp, piece, doc, start, n)
-        yield rows_of(PIECE, fp[lead], piece[lead], doc[lead], start[lead], n[lead].astype(np.int32))
-        spread = mix(doc[later].astype(np.uint64) * np.uint64(31) + start[later].astype(np.uint64)).view(np.int64)
-        yield rows_of(PIECE, spread, pa.nulls(len(later), pa.int64()), doc[later], start[later], n[later].astype(np.int32))
+
+    def found(batches):
+        hot = np.unpackbits(sent.value).view(bool) if sent else None
+        for batch in batches:
+            ids = np.asarray(batch.column("doc_id"))
+            parts = []
+            for first, last, data, offsets in runs(batch.column("text")):
+                fp, piece, text, start, n = pieces_of(data, offsets, hot)
+                parts.append((fp, piece, ids[first:last][text], start, n))
+            if not parts:
+                continue
+            fp, piece, doc, start, n = (np.concatenate(c) for c in zip(*parts))
+            lead, later = fold(fp, piece, doc, start, n)
+            yield rows_of(PIECE, fp[lead], piece[lead], doc[lead], start[lead], n[lead].astype(np.int32))
+            spread = mix(doc[later].astype(np.uint64) * np.uint64(31) + start[later].astype(np.uint64)).view(np.int64)
+            yield rows_of(PIECE, spread, pa.nulls(len(later), pa.int64()), doc[later], start[later], n[later].astype(np.int32))
+
+    return found
 
 
 def sift_pieces(batches):
@@ -279,7 +322,7 @@ def take_out(batches):
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, t) for c, t in zip(columns, types))], names=names)
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", hot_pieces: int = HOT_PIECES, sampled: float = SAMPLED) -> DataFrame:
     """One row per input row: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``.
 
     A byte goes if a string of SIZE bytes covers it that also starts earlier, in a document with a
@@ -289,7 +332,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     stays whole; an empty table gives no rows; other columns are left out.
 
     The texts are shuffled once by id and read twice from there: to cut pieces out, and to
-    remove what is repeated.
+    remove what is repeated. ``hot_pieces`` and ``sampled`` change the work's distribution only.
     """
     spark = docs.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -298,7 +341,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
         texts = texts.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
     # both joins take the same rows, so that they share one shuffle of the texts
     named = texts.filter("doc_id is not null")
-    pieces = named.filter(F.octet_length("text") >= SIZE).mapInArrow(find_pieces, "fp long, piece long, doc_id long, start long, n int")
+    long_ones = named.filter(F.octet_length("text") >= SIZE)
+    hot = hot_minimizers(long_ones, hot_pieces, sampled)
+    pieces = long_ones.mapInArrow(find_pieces(None if hot is None else spark.sparkContext.broadcast(hot)), FOUND)
     sifted = pieces.repartition(tasks, "fp").mapInArrow(sift_pieces, "fp long, doc_id long, start long, n int")
     asked = sifted.groupBy("doc_id").agg(F.collect_list(F.struct("fp", "start", "n")).alias("spans"))
     cut = named.join(asked.hint("shuffle_merge"), "doc_id").mapInArrow(cut_pieces, "fp long, doc_id long, start long, n int, text binary")

@@ -37,8 +37,14 @@ def test_repeats_edges(spark):
         texts[20 + i] = text(rng.randrange(30)) + passage[a : a + 90 + rng.randrange(60)] + text(rng.randrange(30)) + other
     data = [(d, t, "x") for d, t in texts.items()]
     rng.shuffle(data)
-    got = rows(repeats.remove_repeats(spark.createDataFrame(data, DOCS)))
+    df = spark.createDataFrame(data, DOCS)
+    got = rows(repeats.remove_repeats(df))
     check(texts, got)
+    # split minimizers give the same
+    long_ones = df.filter("octet_length(text) >= 100")
+    assert repeats.hot_minimizers(long_ones, 1000, 1.0) is None and repeats.hot_minimizers(long_ones, 3, 1.0) is not None
+    for hot_pieces in (1, 3, 8):
+        check(texts, rows(repeats.remove_repeats(df, hot_pieces=hot_pieces, sampled=1.0)))
     whole = {r["doc_id"]: r for r in got}
     docs = spark.createDataFrame([*data, data[0], next(x for x in data if x[0] == 8), (None, passage, "x")], DOCS).repartition(5)
     more = rows(repeats.remove_repeats(docs))
