@@ -7,11 +7,11 @@ piece of text. A piece that occurs again whole is folded into its earliest occur
 minimizer with a single piece needs nothing more. The pieces of all other
 minimizers are compared by suffix order:
 
-A task cuts its pieces into shards and builds each shard's Burrows-Wheeler transform. The
-symbols are strings of STEP bytes, so a window is DEPTH symbols. The shards are merged by
-refining the interleave of their suffixes: reading each shard's transform in the
-present interleave and dealing it out stably by symbol sorts the suffixes by one
-symbol more. The round in which two neighbours part is their common prefix. After DEPTH
+A task cuts its pieces into chunks of whole minimizers, and these into shards, and builds
+each shard's Burrows-Wheeler transform. The symbols are strings of STEP bytes, so a
+window is DEPTH symbols. The shards are merged by refining the interleave of their
+suffixes: reading each shard's transform in the present interleave and dealing it out
+stably by symbol sorts the suffixes by one symbol more. The round in which two neighbours part is their common prefix. After DEPTH
 rounds the blocks left are the intervals of suffixes with equal windows, and all of
 a block but its earliest occurrence is repeated. No merged suffix is sorted again.
 
@@ -27,6 +27,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .arrays import mix, prefix_hashes, runs, span_hashes
@@ -35,8 +36,9 @@ SIZE = 100
 GRAM = 24
 STEP = 20
 DEPTH = SIZE // STEP
-# A shard holds about so many bytes of pieces.
-SHARD_BYTES = 1 << 20
+# A shard holds about so many bytes of pieces, and the pieces merged at once, of whole minimizers, are about so many.
+SHARD_BYTES = 1 << 19
+CHUNK_BYTES = 1 << 21
 # Different pieces of one minimizer from which it is split, as estimated from this part of the rows.
 HOT_PIECES = 1 << 15
 SAMPLED = 1 / 64
@@ -281,21 +283,31 @@ def repeated(texts: list[bytes], doc: np.ndarray, start: np.ndarray, shard_bytes
 
 
 def compare_pieces(batches):
-    """Rows of repeated windows from the pieces of a task; rows without text pass through."""
+    """Rows of repeated windows from the pieces of a task; rows without text pass through.
+
+    Pieces of one minimizer are compared together, those of several only to fill a chunk.
+    """
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n", pa.int32())])
-    texts, docs, starts = [], [], []
+    parts = []
     for batch in batches:
         with_text = batch.column("text").is_valid()
-        part = batch.filter(with_text)
-        texts += part.column("text").to_pylist()
-        docs.append(np.asarray(part.column("doc_id")))
-        starts.append(np.asarray(part.column("start")))
+        parts.append(batch.filter(with_text))
         done = batch.filter(batch.column("text").is_null())
         yield rows_of(schema, *(done.column(c) for c in schema.names))
-    if texts:
-        doc, start = np.concatenate(docs), np.concatenate(starts)
-        piece, window, n = repeated(texts, doc, start)
-        yield rows_of(schema, doc[piece], start[piece] + window, n.astype(np.int32))
+    if not any(p.num_rows for p in parts):
+        return
+    fp, doc, start = (np.concatenate([np.asarray(p.column(c)) for p in parts]) for c in ("fp", "doc_id", "start"))
+    texts = pa.concat_arrays([p.column("text").cast(pa.large_binary()) for p in parts])
+    del parts
+    order = np.argsort(fp, kind="stable")
+    fp, doc, start, texts = fp[order], doc[order], start[order], texts.take(pa.array(order))
+    first = np.append(np.flatnonzero(heads(fp)), len(fp))
+    at = np.append(0, np.cumsum(np.asarray(pc.binary_length(texts))))[first]
+    # a chunk begins with the first minimizer that begins in it
+    chunk = np.append(np.flatnonzero(heads(at[:-1] // CHUNK_BYTES)), len(first) - 1)
+    for a, b in zip(first[chunk[:-1]].tolist(), first[chunk[1:]].tolist()):
+        piece, window, n = repeated(texts[a:b].to_pylist(), doc[a:b], start[a:b])
+        yield rows_of(schema, doc[a:b][piece], start[a:b][piece] + window, n.astype(np.int32))
 
 
 def take_out(batches):
