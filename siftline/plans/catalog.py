@@ -9,6 +9,7 @@ the hash of their whole text.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -1091,6 +1092,60 @@ def b7_stream_event_time_flush(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _run_by_parts(
+    spark: SparkSession, rows: DataFrame, start: Callable[[DataFrame], control.StreamingQuery]
+) -> None:
+    """``rows`` arrive in four parts, each a micro-batch of a query started anew."""
+    source = scratch_path(spark, "parts")
+    size = rows.select(F.ceil((F.max("offset") + 1) / LANES)).first()[0]
+    for part in range(LANES):
+        rows.where(F.floor(F.col("offset") / size) == part).write.mode("append").parquet(source)
+        control.run_to_end(start(stream_files(spark, source, rows.schema)))
+
+
+@register(_FLAGGED)
+def d1_stream_parts_keyed_state(spark: SparkSession, d: str) -> DataFrame:
+    """Keyed state carried over four micro-batches and as many runs."""
+    root, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-state")
+    _run_by_parts(spark, event_log(spark, d), lambda rows: keyed.start_keyed_dedup(rows, root, checkpoint))
+    return _flagged_output(spark, root)
+
+
+@register(
+    f"""SELECT flush_id, "eventType", id, payload, row_number() OVER (PARTITION BY flush_id ORDER BY sort_key) AS pos
+    FROM (SELECT event_id // {_QUARTER} AS flush_id, event_type AS "eventType",
+    CAST(user_id AS VARCHAR) AS id, event_type || ' ' || user_id AS sort_key,
+    arg_max(upper(props), event_id) AS payload FROM events GROUP BY 1, 2, 3, 4)"""
+)
+def b2_stream_parts_trigger_flush(spark: SparkSession, d: str) -> DataFrame:
+    """Four micro-batches, each one flush."""
+    path, checkpoint = scratch_path(spark, "trigger"), scratch_path(spark, "trigger-state")
+    _run_by_parts(
+        spark,
+        event_rows(spark, d).drop("ts"),
+        lambda rows: sbuf.start_trigger_sort(rows, path, checkpoint, interval=None),
+    )
+    return sink.read_flushes(spark, path).select("flush_id", *buf.EVENT_COLUMNS, "pos")
+
+
+@register(_ALL_IN_ONE)
+def b6_stopped_buffer(spark: SparkSession, d: str) -> DataFrame:
+    """The buffer is stopped once it holds the events, and flushes them after a restart."""
+    path, checkpoint = scratch_path(spark, "flush"), scratch_path(spark, "flush-state")
+    interval = 20
+
+    def run(done: Callable[[int], bool]) -> None:
+        rows = _event_row_stream(spark, d).drop("ts")
+        query = sbuf.start_buffer_sort(rows, path, checkpoint, interval_seconds=interval)
+        control.run_until(query, lambda: any(done(s.numRowsTotal) for p in query.recentProgress for s in p.stateOperators), timeout=600)
+
+    # half an interval or more is left until the flush
+    control.wait_for(lambda: time.time() % interval < interval / 2)
+    run(lambda held: held > 0)
+    run(lambda held: held == 0)
+    return sink.read_flushes(spark, path).select(*buf.EVENT_COLUMNS, "pos")
+
+
 def _dedup_by_parts(spark: SparkSession, d: str, *logs: Callable[[str, str], monitor.StreamingQueryListener]) -> list[str]:
     """The log arrives in four parts, each a micro-batch of a query started anew.
 
