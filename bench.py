@@ -2,7 +2,8 @@
 
 Reads ``$BENCH_SF_DIR`` on ``local[$BENCH_CPUS]``. Results go to the ``noop``
 sink or to files, never through ``count()``. Each query runs once unmeasured and
-then three times; the median counts. ``volume_*`` uses generated input in the
+then three times; the median counts. The tables are first written anew in FILES
+files each, as a single small one would keep most cores idle. ``volume_*`` uses generated input in the
 shape of a large-volume run: 10,000,000 records, 5 % of them repeats of 10,000
 keys.
 """
@@ -31,12 +32,21 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 VOLUME = int(os.environ.get("BENCH_VOLUME", "10000000"))
 RUNS = 3
+FILES = 16
 
 
 def noop(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def in_files(spark: SparkSession) -> str:
+    """The tables that the bench reads, each in FILES files."""
+    folder = tempfile.mkdtemp(prefix="siftline-bench-")
+    for name in ("events", "orders", "lineitem", "documents"):
+        spark.read.parquet(f"{SF_DIR}/{name}.parquet").repartition(FILES).write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
 def volume_log(spark: SparkSession) -> DataFrame:
     """Repeats are spread over the whole run and hit the keys of its first records."""
     path = f"{tempfile.mkdtemp(prefix='siftline-bench-')}/volume"
@@ -66,14 +76,15 @@ def timed(run, runs: int = RUNS) -> float:
 
 def main() -> None:
     spark = local_session(CPUS, shuffle_partitions=max(8, int(CPUS)))
-    log = catalog.event_log(spark, SF_DIR)
-    hourly = catalog.event_rows(spark, SF_DIR).withColumn("flush_id", buf.flush_window("1 hour"))
+    tables = in_files(spark)
+    log = catalog.event_log(spark, tables)
+    hourly = catalog.event_rows(spark, tables).withColumn("flush_id", buf.flush_window("1 hour"))
 
     def job() -> None:
         DedupJob(spark, scratch_path(spark, "bench-job"), seen="ts").run(log)
 
     def flushes() -> None:
-        daily = catalog.event_rows(spark, SF_DIR).withColumn("flush_id", F.date_trunc("day", "ts").cast("date"))
+        daily = catalog.event_rows(spark, tables).withColumn("flush_id", F.date_trunc("day", "ts").cast("date"))
         sink.write_flushes(buf.buffer_and_sort(daily), scratch_path(spark, "bench-flush"))
 
     registry_path = scratch_path(spark, "bench-registry")
@@ -85,18 +96,18 @@ def main() -> None:
         "keep_first_events": lambda: noop(dedup.keep_first(log)),
         "kickouts_events": lambda: noop(dedup.kickouts(dedup.classify(log))),
         "classify_against_registry": lambda: noop(dedup.classify(log, registry)),
-        "classify_hot_keys_orders": lambda: noop(dedup.classify(catalog.order_log(spark, SF_DIR))),
-        "keep_first_documents": lambda: noop(dedup.keep_first(catalog.document_log(spark, SF_DIR))),
+        "classify_hot_keys_orders": lambda: noop(dedup.classify(catalog.order_log(spark, tables))),
+        "keep_first_documents": lambda: noop(dedup.keep_first(catalog.document_log(spark, tables))),
         "compaction_events": lambda: noop(dedup.keep_latest(log)),
         "upsert_hourly": lambda: noop(buf.upsert(buf.prepare(hourly))),
         "sorted_flushes_hourly": lambda: noop(buf.buffer_and_sort(hourly)),
-        "assign_batches": lambda: noop(catalog.s6_assign_batches(spark, SF_DIR)),
-        "parse_event_json": lambda: noop(catalog.j1_parse_events(spark, SF_DIR)),
+        "assign_batches": lambda: noop(catalog.s6_assign_batches(spark, tables)),
+        "parse_event_json": lambda: noop(catalog.j1_parse_events(spark, tables)),
         "job_committed_output": job,
         "sorted_flushes_written": flushes,
     }
     seconds = {name: timed(run) for name, run in queries.items()}
-    seconds["stream_classify_events"] = timed(lambda: catalog._run_dedup(spark, SF_DIR), 1)
+    seconds["stream_classify_events"] = timed(lambda: catalog._run_dedup(spark, tables), 1)
 
     volume = volume_log(spark)
     seconds["volume_classify"] = timed(lambda: noop(dedup.classify(volume)), 1)
@@ -111,6 +122,7 @@ def main() -> None:
                 "queries": seconds,
                 "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
                 "cpus": CPUS,
+                "files": FILES,
                 "shuffle_partitions": spark.conf.get("spark.sql.shuffle.partitions"),
                 "driver_memory": spark.conf.get("spark.driver.memory"),
                 "volume_rows": VOLUME,
