@@ -4,40 +4,60 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
+from ..operators.joins import join_skewed
 from . import decontaminate as tiling, mixing, near_dedup, quality, sharding
-from .tables import table
+from .tables import stored, table
 
 SHARDS = 24
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """Add ``_key``, 63 bits over id, source and text. Rows that agree in these are judged alike by every stage."""
+    parts = [x for c in ("doc_id", "source", "text") for x in (F.col(c), F.col(c).isNull())]
+    return docs.withColumn("_key", F.shiftrightunsigned(F.xxhash64(*parts), 1))
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of keyed documents whose ``_key`` is not among the ``gone``."""
+    return join_skewed(docs, gone.select("_key").distinct(), ["_key"], "left_anti")
+
+
 def kept_rows(docs: DataFrame, verdicts: DataFrame, keep: Column) -> DataFrame:
-    """The documents that a verdict per row keeps, with all their columns.
+    """The rows of keyed documents that a verdict per row keeps, without the key.
 
-    Verdicts carry ``doc_id``. Rows with one id are one document here: it goes if one of
-    its rows goes. Rows without an id are matched with each other in the same way.
+    Verdicts carry the key as ``doc_id``. A row goes only if it was rejected itself,
+    whatever other rows have its id or have none as well.
     """
-    gone = verdicts.filter(~keep).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+    return without(docs, verdicts.filter(~keep).select(F.col("doc_id").alias("_key"))).drop("_key")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the rules, or whose host fails them, go."""
-    return kept_rows(docs, quality.judge(docs), F.col("kept"))
+    docs = keyed(docs)
+    return kept_rows(docs, quality.judge(docs, "_key"), F.col("kept"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of five-word shingle similarity 0.8 stays: the smallest id.
 
-    Of several rows with that id one stays. Rows without an id all stay.
+    Rows that agree in id, source and text are one document, of which one row stays. Different
+    texts under one id, or without an id, are different documents; a document without an id
+    goes if it is near one that has an id.
     """
-    left = kept_rows(docs, near_dedup.near_duplicates(docs, k=5, percent=80), F.col("kept"))
-    named = left.filter("doc_id is not null").dropDuplicates(["doc_id"])
-    return named.union(left.filter("doc_id is null"))
+    docs = keyed(docs)
+    found = near_dedup.near_duplicates(docs, "_key", k=5, percent=80).select(F.col("doc_id").alias("_key"), "component_id").distinct()
+    ids = docs.groupBy("_key").agg(F.first("doc_id").alias("doc_id"))
+    members = stored(found.join(ids, "_key"), "members")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key")
+    heads = members.groupBy("component_id").agg(F.min(first)["_key"].alias("_head"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    gone = join_skewed(members, heads, ["component_id"], "inner").filter("_key <> _head")
+    return without(docs, gone).dropDuplicates(["_key"]).drop("_key")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    found = tiling.contamination(docs, table(spark, sf_dir, "benchmark"))
+    docs = keyed(docs)
+    found = tiling.contamination(docs, table(spark, sf_dir, "benchmark"), "_key")
     return kept_rows(docs, found, ~F.col("contaminated"))
 
 
