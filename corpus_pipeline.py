@@ -15,7 +15,8 @@ STAGES = [
     ("sharding", stages.shard_documents),
 ]
 
-# Components and greedy tiling are iterative; the stages are tested against plain Python instead.
+# Components and greedy tiling are iterative. tests/llm/test_stages.py has cases for the first three
+# stages and empty tables for all; no test holds run() to a plain Python version yet.
 ORACLE_SQL = None
 
 
