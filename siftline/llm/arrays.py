@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +21,7 @@ for _range in (b"09", b"AZ", b"az"):
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
+_ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers = np.ones(1, dtype=np.uint64)
@@ -102,6 +104,28 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return span_hashes(prefix_hashes(LOWER[data]), starts, ends)
 
 
+# Words above so many bytes are hashed one by one.
+LONG_WORD = 128
+
+
+def solid_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of spans, mixed anew at every eight bytes: unlike :func:`span_hashes`, no structure of a text makes them collide."""
+    sizes = ends - starts
+    filled = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    # eight bytes from any place on
+    eights = np.ndarray((len(data) + 1,), dtype="<u8", buffer=filled, strides=(1,))
+    out = mix(sizes.astype(np.uint64) * np.uint64(_BASE))
+    for done in range(0, min(int(sizes.max(initial=0)), LONG_WORD), 8):
+        at = np.flatnonzero(sizes > done) if done else np.arange(len(sizes))
+        left = np.clip(sizes[at] - done, 0, 8)
+        word = eights[starts[at] + done] & (_ALL >> (np.uint64(64) - np.uint64(8) * left.astype(np.uint64)))
+        out[at] = mix(out[at] * np.uint64(_BASE) + word)
+    for i in np.flatnonzero(sizes > LONG_WORD).tolist():
+        digest = hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest()
+        out[i] = np.frombuffer(digest, dtype="<u8")[0]
+    return out
+
+
 def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
     """The hash of each run of ``k`` words, by its first word."""
     n = max(0, len(words) - k + 1)

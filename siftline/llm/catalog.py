@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, licenses, mixing, near_dedup, quality, repeats, secrets, sharding, toxicity, url_rules
+from . import (
+    decontaminate,
+    filter_audit,
+    hard_negatives,
+    licenses,
+    mixing,
+    near_dedup,
+    ngram,
+    quality,
+    repeats,
+    secrets,
+    sharding,
+    toxicity,
+    url_rules,
+)
 from .tables import table
 
 
@@ -50,6 +64,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op13_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram.judge(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -63,6 +89,12 @@ QUERIES = {
         op8_mixture,
         op9_url_rules,
         op10_decontamination,
+        op11_filter_audit,
+        op12_hard_negatives,
+        op13_language_model,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op11_filter_audit": filter_audit.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
+}
