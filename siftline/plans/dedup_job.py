@@ -1,36 +1,30 @@
 """Incremental dedup of a growing log with a durable registry table.
 
 One run takes everything after the committed positions as one batch; the layout is
-that of :mod:`siftline.sinks.committed`. Registry entries count only if their batch
-has a marker, so an aborted attempt leaves nothing behind and the next run repeats
-the same batch id.
+that of :mod:`siftline.sinks.ledger`. Nothing counts until the run's manifest is
+written, so an aborted attempt leaves nothing behind and the next run repeats the
+same batch id.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.keys import guard_key
-from ..operators.dedup import first_positions, flag_records
-from ..operators.registry import purge, rebuild, unregistered
-from ..schemas import COMMITTED
-from ..session import settle
-from ..sinks import committed as sink
-from ..sinks.committed import (
-    KickoutHandler,
-    commit_batch,
-    commits,
-    last_batch,
-    read_output,
-    read_registry,
-    write_entries,
-)
-from ..sinks.writer import single_writer
-from ..sources.positions import RESET_POLICIES, collect_positions, next_batch, resume_after, start_at
-from ..streaming.dedup import delivered_again
+from ..operators.registry import rebuild
+from ..schemas import REGISTRY
+from ..sinks import ledger
+from ..sinks.committed import KickoutHandler
+from ..sinks.manifest import BUCKETS, LEASE_SECONDS, Manifest, newest, writing
+from ..sources.positions import RESET_POLICIES, next_batch, resume_after, start_at
+
+
+def micros(spark: SparkSession, time: datetime | str | Column) -> int:
+    """A constant time in microseconds since 1970."""
+    column = time if isinstance(time, Column) else F.lit(time)
+    return spark.range(1).select(F.unix_micros(column.cast("timestamp"))).first()[0]
 
 
 class DedupJob:
@@ -39,8 +33,11 @@ class DedupJob:
     ``reset`` says what happens when a committed position is not in the log any more:
     ``none`` raises, ``earliest`` reads that source partition from its first record,
     ``latest`` skips the records it has now. Without it, whatever lies after the
-    position is read, and nothing is checked. Only one run may write at a time; another
-    one raises :class:`~siftline.sinks.writer.WriterExists`.
+    position is read, and nothing is checked. Only one run may write at a time; another one
+    raises :class:`~siftline.sinks.manifest.WriterExists`. A run holds the root for
+    ``lease_seconds``: after that, as when its driver was killed, the next run takes over, and the
+    old one can no longer commit. ``buckets`` counts for a new root: choose it so that a
+    bucket of the registry fits a task.
     """
 
     def __init__(
@@ -52,6 +49,8 @@ class DedupJob:
         on_null_key: str = "reject",
         on_kickouts: KickoutHandler | None = None,
         reset: str | None = None,
+        buckets: int = BUCKETS,
+        lease_seconds: float = LEASE_SECONDS,
     ):
         if reset is not None and reset not in RESET_POLICIES:
             raise ValueError(f"reset must be one of {RESET_POLICIES}")
@@ -62,50 +61,55 @@ class DedupJob:
         self._on_null_key = on_null_key
         self._on_kickouts = on_kickouts
         self._reset = reset
+        self._buckets = buckets
+        self._lease_seconds = lease_seconds
 
-    def _positions(self) -> DataFrame:
-        done = sink.since_snapshot(self._spark, self._root)
-        return done.groupBy("partition").agg(F.max_by("offset", "batch_id").alias("offset"))
+    def _state(self) -> Manifest:
+        return newest(self._spark, self._root)
+
+    def _writing(self, take_over: bool = False):
+        return writing(self._spark, self._root, self._buckets, self._lease_seconds, take_over)
 
     def positions(self) -> dict[int, int]:
         """Last committed offset per source partition: that of its newest batch."""
-        return collect_positions(self._positions())
+        return self._state().positions
 
     def commits(self) -> DataFrame:
-        return commits(self._spark, self._root)
+        return ledger.commits(self._spark, self._root, self._state())
 
     def output(self, outcome: str = "unique") -> DataFrame:
-        return read_output(self._spark, self._root, outcome)
+        return ledger.output(self._spark, self._root, self._state(), outcome)
 
     def registry(self, as_of: int | None = None) -> DataFrame:
-        """All committed entries, or those up to a batch: a restore point."""
-        newest = last_batch(self._spark, self._root)
-        return read_registry(self._spark, self._root, newest if as_of is None else min(as_of, newest))
+        """All committed entries, or those up to a batch: a restore point. Purged entries are in neither."""
+        found = ledger.entries(self._spark, self._root, self._state(), as_of=as_of)
+        return found.select(*REGISTRY.fieldNames())
 
     def compact(self) -> None:
-        """Put all entries and positions into one snapshot, so that later runs open few files.
+        """Merge all pieces into one, and delete folders that no manifest names any more.
 
-        The batches stay; ``registry(as_of=)`` of an earlier batch reads them.
+        Runs merge as they go, so this is not needed for the sake of speed. Readers of a state
+        older than the newest one should be done before it.
         """
-        self._snapshot(self.registry)
+        with self._writing() as writer:
+            if len(writer.current.pieces) > 1 or any(p.cutoff is not None for p in writer.current.pieces):
+                ledger.merge(writer, writer.current.pieces)
+            ledger.vacuum(writer, [])
 
     def purge(self, cutoff: datetime | str | Column) -> None:
-        """Forget keys first seen before the cut-off: they count as new when they return."""
-        self._snapshot(lambda: purge(self.registry(), cutoff))
+        """Forget keys first seen before the cut-off, a constant: they count as new when they return.
 
-    def _snapshot(self, entries: Callable[[], DataFrame]) -> None:
-        with single_writer(self._spark, self._root):
-            newest = last_batch(self._spark, self._root)
-            # a snapshot of this very batch would be read while it is overwritten
-            sink.snapshot(settle(entries()), settle(self._positions()), self._root, newest)
+        Nothing is rewritten; the rows go when their piece is merged.
+        """
+        with self._writing() as writer:
+            writer.publish(pieces=ledger.forget(writer.current.pieces, micros(self._spark, cutoff)))
 
     def restore(self, entries: DataFrame, positions: dict[int, int]) -> None:
         """Start a new root from a backup or a rebuilt registry, and after the given positions."""
-        with single_writer(self._spark, self._root):
-            if not sink.since_snapshot(self._spark, self._root).isEmpty():
+        with self._writing() as writer:
+            if writer.current.pieces:
                 raise ValueError(f"{self._root} has batches already")
-            at = self._spark.createDataFrame(list(positions.items()), COMMITTED)
-            sink.write_start(entries, at, self._root)
+            ledger.start(writer, entries, positions)
 
     def rebuild(self, log: DataFrame, positions: dict[int, int]) -> None:
         """Start a new root from the input log alone, as of the given positions."""
@@ -114,37 +118,26 @@ class DedupJob:
         stamped = stamped.withColumn(seen, F.col(seen).cast("timestamp"))
         self.restore(rebuild(stamped, positions, self._scope, seen), positions)
 
-    def run(self, log: DataFrame, max_offsets: int | None = None) -> int | None:
+    def run(self, log: DataFrame, max_offsets: int | None = None, take_over: bool = False) -> int | None:
         """Process what is new as one batch; its id, or None if there was nothing.
 
-        ``max_offsets`` bounds the batch per source partition; call again for the rest.
+        ``max_offsets`` bounds the batch per source partition; call again for the rest. ``take_over``
+        does not wait for the lease of a run that is known to be dead.
         """
-        with single_writer(self._spark, self._root):
-            return self._run(log, max_offsets)
-
-    def _run(self, log: DataFrame, max_offsets: int | None) -> int | None:
-        positions = self.positions()
-        if self._reset is None:
-            news = resume_after(log, positions)
-        else:
-            news = start_at(log, {p: o + 1 for p, o in positions.items()}, self._reset)
-        if max_offsets is not None:
-            news = next_batch(news, {}, max_offsets)
-        fresh = guard_key(news, self._on_null_key)
-        if fresh.isEmpty():
-            return None
-        batch_id = last_batch(self._spark, self._root) + 1
-
-        known = self.registry()
-        seen = F.date_trunc("second", F.current_timestamp()) if self._seen is None else F.col(self._seen)
-        stamped = fresh.withColumn("_seen", seen.cast("timestamp"))
-        firsts = settle(first_positions(stamped, self._scope, "_seen"))
-        added = write_entries(unregistered(firsts, known, self._scope), self._root, batch_id)
-        # Earlier entries lie at or before the committed positions and the batch after
-        # them, so only its own entries can be matched, unless a reset went back.
-        firsts = added.drop("first_seen")
-        again = None if self._reset is None else delivered_again(fresh, positions)
-        if again is not None:
-            firsts = firsts.unionByName(known.drop("first_seen").join(again, ["first_offset", "partition", "key"], "left_semi"))
-        commit_batch(flag_records(fresh, firsts), self._root, batch_id, self._on_kickouts)
-        return batch_id
+        with self._writing(take_over) as writer:
+            positions = writer.current.positions
+            if self._reset is None:
+                news = resume_after(log, positions)
+            else:
+                news = start_at(log, {p: o + 1 for p, o in positions.items()}, self._reset)
+            if max_offsets is not None:
+                news = next_batch(news, {}, max_offsets)
+            fresh = guard_key(news, self._on_null_key)
+            if fresh.isEmpty():
+                return None
+            seen = F.date_trunc("second", F.current_timestamp()) if self._seen is None else F.col(self._seen)
+            batch_id = writer.current.batch + 1
+            ledger.dedup_batch(
+                writer, fresh, batch_id, self._scope, seen, self._reset is not None, self._on_kickouts
+            )
+            return batch_id

@@ -8,15 +8,8 @@ Layout below a root folder::
 
 A batch is written by overwriting its own folders, the commit marker last, so a
 repeated batch replaces what a failed attempt left behind, and readers that go
-by the markers never see a part of one. Batch -1 is what a job started from:
-entries and positions, no records.
-
-:func:`snapshot` adds::
-
-    snapshot/registry/batch_id=N/    all entries as of a batch
-    snapshot/commits/batch_id=N/     the position of each source partition, written last
-
-From then on a run opens the newest snapshot and what was committed after it.
+by the markers never see a part of one. This is the layout of streams, whose batch ids
+and replays are Spark's; jobs use :mod:`siftline.sinks.ledger`.
 """
 
 from __future__ import annotations
@@ -28,7 +21,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.accounting import batch_accounting
-from ..schemas import COMMITTED, RECORD, REGISTRY
+from ..schemas import RECORD, REGISTRY
 from ..session import session_conf
 from ..sources.batches import read_committed
 from ..sources.positions import collect_positions
@@ -48,7 +41,6 @@ COMMIT = T.StructType(
     ]
 )
 
-_POSITION = T.StructType([*COMMITTED.fields, T.StructField("batch_id", T.LongType())])
 _ENTRY = T.StructType([*REGISTRY.fields, T.StructField("batch_id", T.LongType())])
 
 
@@ -62,20 +54,9 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         return spark.createDataFrame([], schema)
 
 
-def commit_batch(
-    flagged: DataFrame, root: str, batch_id: int, on_kickouts: KickoutHandler | None = None
-) -> dict[int, int]:
-    """Write one flagged batch and then its marker; an empty batch gets none.
-
-    Returns the position reached in each source partition.
-
-    The rows are computed and written once, split by outcome. Counts and
-    positions come from re-reading two narrow columns of what was written. If
-    the kick-out handler raises, no marker is written and the batch is void.
-    """
+def write_outcomes(flagged: DataFrame, target: str) -> DataFrame:
+    """Compute the flagged rows and write them once, split by ``outcome``; the rows as written."""
     spark = flagged.sparkSession
-    started = time.monotonic()
-    target = f"{root}/records/batch_id={batch_id}"
     outcome = (
         F.when(F.col("is_duplicate").isNull(), "reject")
         .when(F.col("is_duplicate"), "kickout")
@@ -96,14 +77,27 @@ def commit_batch(
         [f for f in flagged.schema.fields if f.name != "is_duplicate"]
         + [T.StructField("outcome", T.StringType())]
     )
-    written = spark.read.schema(schema).parquet(target)
+    return spark.read.schema(schema).parquet(target)
+
+
+def count_outcomes(written: DataFrame) -> DataFrame:
+    """Counts and position per source partition, from two narrow columns of what was written."""
     verdict = F.when(F.col("outcome") == "kickout", True).when(F.col("outcome") == "unique", False)
-    counts = (
-        batch_accounting(written.withColumn("is_duplicate", verdict), ["partition"])
-        # one file, written after the counts are complete
-        .repartition(1)
-        .persist()
-    )
+    # one file, written after the counts are complete
+    return batch_accounting(written.withColumn("is_duplicate", verdict), ["partition"]).repartition(1)
+
+
+def commit_batch(
+    flagged: DataFrame, root: str, batch_id: int, on_kickouts: KickoutHandler | None = None
+) -> dict[int, int]:
+    """Write one flagged batch and then its marker; an empty batch gets none.
+
+    Returns the position reached in each source partition. If the kick-out handler
+    raises, no marker is written and the batch is void.
+    """
+    started = time.monotonic()
+    written = write_outcomes(flagged, f"{root}/records/batch_id={batch_id}")
+    counts = count_outcomes(written).persist()
     try:
         reached = collect_positions(counts.withColumnRenamed("committed_offset", "offset"))
         if not reached:
@@ -131,30 +125,9 @@ def committed_positions(spark: SparkSession, root: str, before: int | None = Non
     return done.groupBy("partition").agg(F.max("committed_offset").alias("offset"))
 
 
-def last_snapshot(spark: SparkSession, root: str, upto: int | None = None) -> int | None:
-    """The batch of the newest snapshot, or of the newest up to a batch."""
-    taken = read_or_empty(spark, f"{root}/snapshot/commits", _POSITION)
-    if upto is not None:
-        taken = taken.where(F.col("batch_id") <= upto)
-    return taken.agg(F.max("batch_id")).first()[0]
-
-
-def since_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    """``partition, offset, batch_id``: the newest snapshot's positions and the markers after it.
-
-    Folder names leave out the older markers, so that none of them is opened.
-    """
-    done = commits(spark, root).select("partition", F.col("committed_offset").alias("offset"), "batch_id")
-    base = last_snapshot(spark, root)
-    if base is None:
-        return done
-    taken = read_or_empty(spark, f"{root}/snapshot/commits", _POSITION).where(F.col("batch_id") == base)
-    return taken.unionByName(done.where(F.col("batch_id") > base))
-
-
 def last_batch(spark: SparkSession, root: str) -> int:
     """The newest committed batch id, -1 before the first."""
-    newest = since_snapshot(spark, root).agg(F.max("batch_id")).first()[0]
+    newest = commits(spark, root).agg(F.max("batch_id")).first()[0]
     return -1 if newest is None else newest
 
 
@@ -185,37 +158,9 @@ def write_entries(entries: DataFrame, root: str, batch_id: int) -> DataFrame:
 
 
 def read_registry(spark: SparkSession, root: str, upto: int) -> DataFrame:
-    """Entries of all batches up to an id; the folder name leaves out later attempts.
-
-    The newest snapshot up to that batch stands for all batches it covers.
-    """
-    entries = read_or_empty(spark, f"{root}/registry", _ENTRY).where(F.col("batch_id") <= upto)
-    base = last_snapshot(spark, root, upto)
-    if base is not None:
-        taken = read_or_empty(spark, f"{root}/snapshot/registry", _ENTRY)
-        entries = taken.where(F.col("batch_id") == base).unionByName(entries.where(F.col("batch_id") > base))
-    return entries.drop("batch_id")
-
-
-def snapshot(entries: DataFrame, positions: DataFrame, root: str, batch_id: int) -> None:
-    """Store the registry and the positions as of a batch; the positions, written last, make it count."""
-    for rows, schema, name in ((entries, REGISTRY, "registry"), (positions, COMMITTED, "commits")):
-        (
-            rows.select(*schema.fieldNames())
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .parquet(f"{root}/snapshot/{name}/batch_id={batch_id}")
-        )
-
-
-def write_start(entries: DataFrame, positions: DataFrame, root: str) -> None:
-    """Have a new root start from given entries and positions, as its batch -1."""
-    write_entries(entries, root, -1)
-    nothing = {c: F.lit(0).cast("bigint") for c in ("n_in", "n_unique", "n_dup", "n_reject", "elapsed_ms")}
-    marker = positions.withColumnRenamed("offset", "committed_offset").withColumns(nothing)
-    marker.select(*[c for c in COMMIT.fieldNames() if c != "batch_id"]).write.mode("overwrite").parquet(
-        f"{root}/commits/batch_id=-1"
-    )
+    """Entries of all batches up to an id; the folder name leaves out later attempts."""
+    entries = read_or_empty(spark, f"{root}/registry", _ENTRY)
+    return entries.where(F.col("batch_id") <= upto).drop("batch_id")
 
 
 def append_new(rows: DataFrame, path: str, on: list[str]) -> None:

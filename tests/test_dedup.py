@@ -1,15 +1,19 @@
+import glob
+import os
+import re
+from dataclasses import replace
 from datetime import datetime
 
 import model
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrameWriter, functions as F
 
 from siftline.functions.keys import hashed_key, null_key_rejects, plain_key
 from siftline.operators import dedup, registry as reg
 from siftline.plans.dedup_job import DedupJob
-from siftline.sinks import committed as sink
+from siftline.sinks import committed as sink, ledger, manifest
 
 
 def flags(df):
@@ -249,7 +253,7 @@ def test_a_failed_attempt_leaves_nothing_under_dynamic_overwrite(spark, log, roo
 
 
 def test_a_second_writer_is_refused_and_harms_nothing(spark, log, root):
-    from siftline.sinks.writer import WriterExists, release, single_writer
+    from siftline.sinks.manifest import WriterExists, release, writing
 
     refused = []
 
@@ -262,12 +266,15 @@ def test_a_second_writer_is_refused_and_harms_nothing(spark, log, root):
     assert job.run(log((0, 0, "a"), (0, 1, "a"))) == 0 and refused == [True]
     assert values(job.output()) == ["a"]
     assert DedupJob(spark, root).run(log((0, 2, "b"))) == 1
-    killed = single_writer(spark, root)
+    killed = writing(spark, root)
     killed.__enter__()
     with pytest.raises(WriterExists):
         DedupJob(spark, root).run(log((0, 3, "c")))
+    assert DedupJob(spark, root).run(log((0, 3, "c")), take_over=True) == 2
+    killed = writing(spark, root)
+    killed.__enter__()
     release(spark, root)
-    assert DedupJob(spark, root).run(log((0, 3, "c"))) == 2
+    assert DedupJob(spark, root).run(log((0, 4, "d"))) == 3
 
 
 def test_reset_policies_of_the_job(spark, log, root):
@@ -291,7 +298,7 @@ def test_reset_policies_of_the_job(spark, log, root):
         DedupJob(spark, root, reset="sometimes")
 
 
-def test_compaction_opens_few_markers(spark, log, root):
+def test_compaction(spark, log, root):
     rows = [(0, o, k) for o, k in enumerate("abcad")]
     job = DedupJob(spark, root)
     while job.run(log(*rows), max_offsets=1) is not None:
@@ -299,13 +306,170 @@ def test_compaction_opens_few_markers(spark, log, root):
     before = entries(job.registry())
     job.compact()
     job.compact()
-    opened = sink.since_snapshot(spark, root).select(F.input_file_name().alias("f")).where("f <> ''").distinct()
-    assert opened.where("f not like '%/snapshot/%'").count() == 0
+    assert len(manifest.newest(spark, root).pieces) == 1
+    assert len(os.listdir(f"{root}/entries")) == len(os.listdir(f"{root}/commits")) == 1
     assert entries(job.registry()) == before and job.positions() == {0: 4}
     assert set(entries(job.registry(as_of=1))) == {"a", "b"}
     assert job.run(log(*rows, (0, 5, "b"), (0, 6, "e"))) == 5
     assert values(job.output().where("batch_id = 5")) == ["e"]
     assert set(entries(job.registry())) == {"a", "b", "c", "d", "e"}
+    assert job.commits().count() == 6 and job.output().count() == 5
+
+
+def test_runs_merge_as_they_go(spark, log, root, monkeypatch):
+    monkeypatch.setattr(ledger, "FANOUT", 2)
+    rows = [(0, o, k) for o, k in enumerate("abcadbe")]
+    job = DedupJob(spark, root, buckets=3)
+    while job.run(log(*rows), max_offsets=1) is not None:
+        pass
+    pieces = manifest.newest(spark, root).pieces
+    assert [(p.low, p.high, p.level) for p in pieces] == [(0, 3, 2), (4, 5, 1), (6, 6, 0)]
+    assert values(job.output()) == ["a", "b", "c", "d", "e"] and values(job.output("kickout")) == ["a", "b"]
+    assert entries(job.registry()) == {"a": (0, 0), "b": (0, 1), "c": (0, 2), "d": (0, 4), "e": (0, 6)}
+    assert set(entries(job.registry(as_of=1))) == {"a", "b"}
+    assert sorted(r["batch_id"] for r in job.commits().collect()) == list(range(7))
+
+
+def test_ten_thousand_batches_have_few_pieces(monkeypatch):
+    class Kept:
+        spark = root = None
+        current = manifest.Manifest(version=1, epoch=1)
+
+        def publish(self, **changes):
+            self.current = replace(self.current, version=self.current.version + 1, **changes)
+
+    for name in ("write_entries", "write_commits", "entries", "commits"):
+        monkeypatch.setattr(ledger, name, lambda *_: None)
+    kept, most = Kept(), 0
+    for batch in range(10_000):
+        kept.publish(batch=batch, pieces=(*kept.current.pieces, manifest.Piece(f"1-{batch}", batch, batch)))
+        ledger.merge_due(kept)
+        most = max(most, len(kept.current.pieces))
+    spans = [(p.low, p.high) for p in kept.current.pieces]
+    assert spans[0][0] == 0 and spans[-1][1] == 9_999
+    assert all(a[1] + 1 == b[0] for a, b in zip(spans, spans[1:]))
+    assert most <= 5 * ledger.FANOUT and len(kept.current.to_json()) < 10_000
+
+
+def test_a_run_opens_the_buckets_of_its_keys(spark, log, root):
+    many = spark.range(5_000).selectExpr("0 AS partition", "id AS offset", "concat('k', id) AS key", "'v' AS value")
+    job = DedupJob(spark, root, buckets=512)
+    job.run(many)
+    state = manifest.newest(spark, root)
+    keys = log(*[(0, 5_000 + i, f"k{i * 7}") for i in range(100)])
+    wanted = [r[0] for r in keys.select(ledger.bucket_of(512)).distinct().collect()]
+    assert len(wanted) <= 100
+    found = ledger.entries(spark, root, state, wanted)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*bucket#\d+ (IN|INSET)", plan)
+    opened = found.select(F.regexp_extract(F.input_file_name(), "bucket=(\\d+)", 1).cast("int")).distinct().collect()
+    assert {r[0] for r in opened} == set(wanted)
+    # sorted by key, and one file per bucket
+    files = glob.glob(f"{root}/entries/piece=*/bucket={wanted[0]}/*.parquet")
+    assert len(files) == 1
+    held = [r["key"] for r in spark.read.parquet(files[0]).collect()]
+    assert held == sorted(held) and len(held) > 1
+    assert job.run(many.unionByName(keys)) == 1
+    assert job.output("kickout").count() == 100
+
+
+def test_a_crash_at_any_write_leaves_the_state_before_or_after(spark, log, root, monkeypatch):
+    """Every write of a run, a purge and a compaction fails in turn; each is then done again."""
+    monkeypatch.setattr(ledger, "FANOUT", 2)
+    rows = [(0, o, k) for o, k in enumerate("abcadbeacf")]
+    job = DedupJob(spark, root, buckets=2, seen="ts")
+
+    def stamped(n):
+        return log(*rows[:n]).withColumn("ts", F.timestamp_seconds(F.col("offset")))
+
+    def state():
+        done = [sorted((r["offset"], r["batch_id"]) for r in job.output(o).collect()) for o in ("unique", "kickout")]
+        return entries(job.registry()), job.positions(), done
+
+    class Crash(RuntimeError):
+        pass
+
+    def fails_at(n, act):
+        """Whether the n-th write came; it did not happen."""
+        left = [n]
+
+        def counted(real):
+            def write(*args, **kwargs):
+                left[0] -= 1
+                if left[0] == 0:
+                    raise Crash
+                return real(*args, **kwargs)
+
+            return write
+
+        with monkeypatch.context() as m:
+            m.setattr(DataFrameWriter, "parquet", counted(DataFrameWriter.parquet))
+            m.setattr(manifest, "publish", counted(manifest.publish))
+            try:
+                act()
+            except Crash:
+                return True
+        return False
+
+    acts = [
+        lambda: job.run(stamped(3)),
+        lambda: job.run(stamped(6)),
+        job.compact,
+        lambda: job.purge(F.timestamp_seconds(F.lit(2))),
+        lambda: job.purge(F.timestamp_seconds(F.lit(3))),
+        lambda: job.run(stamped(10)),
+        job.compact,
+    ]
+    crashes = 0
+    for act in acts:
+        before, seen, n = state(), [], 1
+        while fails_at(n, act):
+            manifest.release(spark, root)
+            seen.append(state())
+            crashes += 1
+            n += 1
+            if seen[-1] != before:
+                # it counted already, and only what follows it was lost
+                break
+        else:
+            seen.append(state())
+        assert all(s == before for s in seen[:-1])
+    assert crashes > 20
+    want = model_of_the_acts()
+    assert state() == want
+
+
+def model_of_the_acts():
+    """The keys a to f of the log: a, b, c first; a purge of a, b; and a purge of c."""
+    unique = [(0, 0), (1, 0), (2, 0), (4, 1), (6, 2), (7, 2), (8, 2), (9, 2)]
+    kickout = [(3, 1), (5, 1)]
+    return {"d": (0, 4), "e": (0, 6), "a": (0, 7), "c": (0, 8), "f": (0, 9)}, {0: 9}, [unique, kickout]
+
+
+def test_a_run_takes_over_from_a_dead_one(spark, log, root):
+    """The lease of the first run is over before it commits; its late commit is refused."""
+    later = DedupJob(spark, root)
+
+    def overtaken(_rows, _batch_id):
+        assert later.run(log((0, 0, "a"), (0, 1, "a"), (0, 2, "z"))) == 0
+
+    slow = DedupJob(spark, root, on_kickouts=overtaken, lease_seconds=0)
+    with pytest.raises(manifest.Fenced):
+        slow.run(log((0, 0, "a"), (0, 1, "a")))
+    assert values(later.output()) == ["a", "z"] and values(later.output("kickout")) == ["a"]
+    assert later.positions() == {0: 2} and later.commits().count() == 1
+    assert manifest.newest(spark, root).lease is None
+    assert later.run(log((0, 3, "a"))) == 1
+
+
+def test_old_manifests_go(spark, root, monkeypatch):
+    monkeypatch.setattr(manifest, "KEEP", 3)
+    for n in range(5):
+        with manifest.writing(spark, root) as writer:
+            writer.renew()
+            assert writer.current.epoch == n + 1
+    assert len([f for f in os.listdir(f"{root}/manifest") if f.startswith("v")]) == 3
+    assert not [f for f in os.listdir(f"{root}/manifest") if f.startswith("_")]
 
 
 def test_restore_and_rebuild_into_a_new_root(spark, log, root):

@@ -4,6 +4,7 @@ import glob
 import os
 import time
 import uuid
+from functools import partial
 from datetime import datetime, timedelta
 
 import model
@@ -12,8 +13,9 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from siftline.operators import buffer as buf, registry as reg
+from siftline.plans.dedup_job import DedupJob
 from siftline.schemas import RECORD
-from siftline.sinks import committed as sink
+from siftline.sinks import committed as sink, manifest
 from siftline.sources import logs
 from siftline.streaming import buffer as sbuf, control, dedup as sdedup, keyed_state as keyed, monitor
 
@@ -50,12 +52,16 @@ def paths(tmp_path):
     return str(tmp_path / "out"), str(tmp_path / "state")
 
 
-FORMS = {"counts": sdedup.start_dedup, "keyed": keyed.start_keyed_dedup}
+FORMS = {
+    "counts": sdedup.start_dedup,
+    "registry": partial(sdedup.start_dedup, known="registry"),
+    "keyed": keyed.start_keyed_dedup,
+}
 
 
 @pytest.fixture(params=FORMS)
 def run(request):
-    """Run a stream to its end in each of the two forms."""
+    """Run a stream to its end in each of the forms."""
 
     def go(folder, paths, max_files=1, **kwargs):
         return control.run_to_end(FORMS[request.param](folder.stream(max_files), *paths, **kwargs), 120)
@@ -67,10 +73,22 @@ def run_keyed(folder, paths, **kwargs):
     return control.run_to_end(keyed.start_keyed_dedup(folder.stream(), *paths, **kwargs), 120)
 
 
+def has_ledger(root):
+    return os.path.exists(f"{root}/manifest")
+
+
+def read_output(spark, root, outcome="unique"):
+    return DedupJob(spark, root).output(outcome) if has_ledger(root) else sink.read_output(spark, root, outcome)
+
+
+def read_commits(spark, root):
+    return DedupJob(spark, root).commits() if has_ledger(root) else sink.commits(spark, root)
+
+
 def result(spark, root):
     out = {}
     for outcome in ("unique", "kickout", "reject"):
-        rows = sink.read_output(spark, root, outcome).collect()
+        rows = read_output(spark, root, outcome).collect()
         out[outcome] = sorted((r["offset"], r["value"]) for r in rows)
     return out
 
@@ -129,6 +147,92 @@ def test_crash_between_marker_and_checkpoint(spark, folder, paths, monkeypatch):
     assert result(spark, paths[0]) == want
 
 
+def start_on_registry(folder, paths, **kwargs):
+    return control.run_to_end(sdedup.start_dedup(folder.stream(), *paths, known="registry", **kwargs), 120)
+
+
+@pytest.mark.parametrize("step", ["handler", "publish", "after"])
+def test_a_registry_stream_crashes(spark, folder, paths, monkeypatch, step):
+    """Before its manifest a batch is not there, and after it the replay changes nothing."""
+    folder.add((0, 0, "1", "1"), (0, 1, "2", "2"))
+    folder.add((0, 2, "1", "1"), (0, 3, "3", "3"))
+    real = manifest.Writer.publish
+
+    def crash(*_):
+        raise RuntimeError("crash")
+
+    def publish(self, **changes):
+        if step == "publish" and changes.get("batch") == 1:
+            crash()
+        real(self, **changes)
+        if step == "after" and changes.get("batch") == 1:
+            crash()
+
+    monkeypatch.setattr(manifest.Writer, "publish", publish)
+    kwargs = {"on_kickouts": lambda rows, batch_id: batch_id == 1 and crash()} if step == "handler" else {}
+    with pytest.raises(StreamingQueryException, match="crash"):
+        start_on_registry(folder, paths, **kwargs)
+    monkeypatch.undo()
+    want = {"unique": [(0, "1"), (1, "2"), (3, "3")], "kickout": [(2, "1")], "reject": []}
+    if step == "after":
+        assert result(spark, paths[0]) == want
+    else:
+        assert result(spark, paths[0]) == {"unique": [(0, "1"), (1, "2")], "kickout": [], "reject": []}
+    start_on_registry(folder, paths)
+    assert result(spark, paths[0]) == want
+    assert read_commits(spark, paths[0]).count() == 2
+
+
+def test_registry_stream_reads_its_source_once(spark, folder, paths):
+    folder.add((0, 0, "a", "a"), (0, 1, "b", "b"), (0, 2, "a", "a"))
+    query = start_on_registry(folder, paths)
+    assert [p.numInputRows for p in query.recentProgress if p.numInputRows] == [3]
+
+
+def test_registry_stream_purges_expires_and_goes_on_elsewhere(spark, folder, paths, tmp_path):
+    folder.add((0, 0, "a", "a"), (0, 1, "b", "b"))
+    start_on_registry(folder, paths)
+    job = DedupJob(spark, paths[0])
+    job.purge(F.current_timestamp() + F.expr("interval 1 hour"))
+    assert job.registry().count() == 0
+    folder.add((0, 2, "a", "a2"), (0, 3, "a", "a3"))
+    start_on_registry(folder, paths)
+    assert result(spark, paths[0]) == {"unique": [(0, "a"), (1, "b"), (2, "a2")], "kickout": [(3, "a3")], "reject": []}
+    # another stream goes on from a backup of this one, and then its keys expire
+    saved = str(tmp_path / "saved")
+    reg.backup(job.registry(), saved, 1)
+    later = Folder(spark, str(tmp_path / "later"), RECORD)
+    fresh = f"{paths[0]}-2", f"{paths[1]}-2"
+    DedupJob(spark, fresh[0]).restore(reg.restore(spark, saved, 1), job.positions())
+    later.add((0, 4, "a", "a4"), (0, 5, "c", "c5"))
+    start_on_registry(later, fresh)
+    time.sleep(2)
+    later.add((0, 6, "a", "a6"), (0, 7, "c", "c7"))
+    start_on_registry(later, fresh, ttl_seconds=1)
+    assert result(spark, fresh[0]) == {"unique": [(5, "c5"), (6, "a6"), (7, "c7")], "kickout": [(4, "a4")], "reject": []}
+
+
+def test_two_streams_and_a_job_share_a_root(spark, folder, paths, log, tmp_path):
+    """Each goes on from what the others left, whatever Spark's ids of its batches."""
+    other = Folder(spark, str(tmp_path / "other"), RECORD)
+    folder.add((0, 0, "a", "a"))
+    start_on_registry(folder, paths)
+    other.add((1, 0, "a", "a"), (1, 1, "b", "b"))
+    start_on_registry(other, (paths[0], f"{paths[1]}-2"))
+    assert DedupJob(spark, paths[0]).run(log((2, 0, "b"), (2, 1, "c"))) == 2
+    folder.add((0, 1, "c", "c"), (0, 2, "d", "d"))
+    start_on_registry(folder, paths)
+    got = DedupJob(spark, paths[0])
+    assert sorted((r["partition"], r["value"]) for r in got.output().collect()) == [(0, "a"), (0, "d"), (1, "b"), (2, "c")]
+    assert got.output("kickout").count() == 3 and got.positions() == {0: 2, 1: 1, 2: 1}
+
+
+def test_known_is_checked(folder, paths):
+    for wrong in ({"known": "guess"}, {"ttl_seconds": 1}, {"seen": "ts"}):
+        with pytest.raises(ValueError):
+            sdedup.start_dedup(folder.stream(), *paths, **wrong)
+
+
 def test_stream_agrees_with_the_model_over_many_batches(spark, run, folder, paths):
     rows = [(o % 2, o, f"k{(o * o) % 11}") for o in range(60)]
     known, want = {}, {}
@@ -162,7 +266,7 @@ def test_failed_batch_is_replayed(spark, run, folder, paths):
     run(folder, paths, on_kickouts=lambda df, _id: reported.extend(r["value"] for r in df.collect()))
     assert result(spark, paths[0])["unique"] == [(0, "1"), (1, "2"), (3, "3")]
     assert reported == ["1"]
-    commits = sink.commits(spark, paths[0]).orderBy("batch_id").collect()
+    commits = read_commits(spark, paths[0]).orderBy("batch_id").collect()
     assert [(r["batch_id"], r["n_in"], r["n_dup"], r["committed_offset"]) for r in commits] == [
         (0, 2, 0, 1), (1, 2, 1, 3),
     ]
@@ -174,7 +278,8 @@ def test_a_batch_without_rows_commits_nothing(spark, run, folder, paths):
     time.sleep(0.01)
     folder.add((0, 1, "b", "b"))
     run(folder, paths)
-    assert [r["batch_id"] for r in sink.commits(spark, paths[0]).orderBy("batch_id").collect()] == [0, 2]
+    ids = [r["batch_id"] for r in read_commits(spark, paths[0]).orderBy("batch_id").collect()]
+    assert ids == ([0, 1] if has_ledger(paths[0]) else [0, 2])
     assert result(spark, paths[0])["unique"] == [(0, "a"), (1, "b")]
 
 
@@ -182,10 +287,11 @@ def test_restart_with_nothing_new(spark, run, folder, paths):
     folder.add((0, 0, "1", "1"), (0, 1, "2", "2"))
     run(folder, paths)
     run(folder, paths)
-    assert sink.commits(spark, paths[0]).count() == 1
+    assert read_commits(spark, paths[0]).count() == 1
     folder.add((0, 2, "3", "3"))
     run(folder, paths)
-    newest = sink.read_output(spark, paths[0]).where(F.col("batch_id") == sink.last_batch(spark, paths[0]))
+    last = read_commits(spark, paths[0]).agg(F.max("batch_id")).first()[0]
+    newest = read_output(spark, paths[0]).where(F.col("batch_id") == last)
     assert [r["value"] for r in newest.collect()] == ["3"]
 
 
