@@ -24,6 +24,7 @@ from ..sinks import committed as sink
 from ..sources import batches, positions as pos
 from ..sources.logs import read_table, stream_files, to_records
 from ..streaming import buffer as sbuf, control, dedup as sdedup, keyed_state as keyed, monitor
+from ..sinks.manifest import Fenced
 from .dedup_job import DedupJob
 from .sort_job import sort_log
 
@@ -652,6 +653,10 @@ def d12_backup_and_restore(spark: SparkSession, d: str) -> DataFrame:
     return reg.restore(spark, path, batch_id=0).drop("partition")
 
 
+_FLAGGED = f"""SELECT "offset", "key", "value", "offset" <> min("offset") OVER (PARTITION BY "key")
+    AS is_duplicate FROM {_LOG}"""
+
+
 def _midway_job(spark: SparkSession, log: DataFrame, reset: str | None = None) -> DedupJob:
     """A job that has run over the early part of the log, as its batch 0."""
     job = DedupJob(spark, scratch_path(spark, "job"), seen="ts", reset=reset)
@@ -659,10 +664,13 @@ def _midway_job(spark: SparkSession, log: DataFrame, reset: str | None = None) -
     return job
 
 
-def _flagged_batch(job: DedupJob, batch_id: int) -> DataFrame:
+def _flagged(job: DedupJob) -> DataFrame:
     sides = [job.output(o).withColumn("is_duplicate", F.lit(o == "kickout")) for o in ("unique", "kickout")]
-    both = sides[0].unionByName(sides[1]).where(F.col("batch_id") == batch_id)
-    return both.select("offset", "key", "is_duplicate")
+    return sides[0].unionByName(sides[1]).select("batch_id", "offset", "key", "value", "is_duplicate")
+
+
+def _flagged_batch(job: DedupJob, batch_id: int) -> DataFrame:
+    return _flagged(job).where(F.col("batch_id") == batch_id).select("offset", "key", "is_duplicate")
 
 
 @register(
@@ -705,6 +713,56 @@ def d12_job_from_backup(spark: SparkSession, d: str) -> DataFrame:
     return _flagged_batch(job, 0)
 
 
+@register(_FLAGGED)
+def d6_job_many_runs(spark: SparkSession, d: str) -> DataFrame:
+    """Ten bounded runs over a registry of many buckets; the pieces of the first eight are merged."""
+    log = event_log(spark, d)
+    size = log.select(F.ceil((F.max("offset") + 1) / 10)).first()[0]
+    job = DedupJob(spark, scratch_path(spark, "many"), seen="ts", buckets=64)
+    while job.run(log, max_offsets=size) is not None:
+        pass
+    return _flagged(job).drop("batch_id")
+
+
+@register(
+    f"""{_EXTENDED} SELECT "offset", "key", "key" IN (SELECT "key" FROM known
+    WHERE first_seen >= TIMESTAMP '{PURGE}') OR "offset" <> min("offset") OVER (PARTITION BY "key")
+    AS is_duplicate FROM late"""
+)
+def d10_job_purged_and_compacted(spark: SparkSession, d: str) -> DataFrame:
+    """Compacted, purged and compacted again on the same batch; then the next run."""
+    log = event_log(spark, d, LANES)
+    job = _midway_job(spark, log)
+    job.compact()
+    job.purge(F.lit(PURGE).cast("timestamp_ntz"))
+    job.compact()
+    job.run(log)
+    return _flagged_batch(job, 1)
+
+
+@register(
+    f"""SELECT "offset", "key", "value", "offset" <> min("offset") OVER (PARTITION BY "key") AS is_duplicate,
+    true AS refused FROM {_LOG}"""
+)
+def m5_take_over(spark: SparkSession, d: str) -> DataFrame:
+    """A run loses its lease before it commits, another one takes over, and the late commit is refused."""
+    root, log = scratch_path(spark, "taken"), event_log(spark, d)
+    half = log.select(F.floor(F.max("offset") / 2)).first()[0]
+    job = DedupJob(spark, root, seen="ts")
+
+    def overtaken(_rows: DataFrame, _batch_id: int) -> None:
+        job.run(log)
+
+    refused = False
+    try:
+        # a lease of no time stands for one that ran out while the driver was not heard of
+        slow = DedupJob(spark, root, seen="ts", on_kickouts=overtaken, lease_seconds=0)
+        slow.run(log.where(F.col("offset") <= half))
+    except Fenced:
+        refused = True
+    return _flagged(job).drop("batch_id").withColumn("refused", F.lit(refused))
+
+
 @register(f"""{_EXTENDED} {_LATE} WHERE "offset" >= (SELECT max(event_id) * 3 // 4 FROM events)""")
 def s4_job_reset_to_earliest(spark: SparkSession, d: str) -> DataFrame:
     """The log was cut beyond the job's positions; it goes on from what is left, after a compaction."""
@@ -1005,10 +1063,6 @@ def _flagged_output(spark: SparkSession, root: str) -> DataFrame:
     return sides[0].unionByName(sides[1]).select("offset", "key", "value", "is_duplicate")
 
 
-_FLAGGED = f"""SELECT "offset", "key", "value", "offset" <> min("offset") OVER (PARTITION BY "key")
-    AS is_duplicate FROM {_LOG}"""
-
-
 @register(_FLAGGED)
 def d1_stream_classify(spark: SparkSession, d: str) -> DataFrame:
     return _flagged_output(spark, _run_dedup(spark, d)[0])
@@ -1031,6 +1085,59 @@ def d6_stream_restarts(spark: SparkSession, d: str) -> DataFrame:
     return _flagged_output(spark, root)
 
 
+@register(_FLAGGED)
+def d1_stream_on_registry(spark: SparkSession, d: str) -> DataFrame:
+    """Earlier keys are looked up in the bucketed registry: four micro-batches and as many runs."""
+    root, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-state")
+    _run_by_parts(
+        spark, event_log(spark, d), lambda rows: sdedup.start_dedup(rows, root, checkpoint, known="registry", seen="ts")
+    )
+    return _flagged(DedupJob(spark, root)).drop("batch_id")
+
+
+def _late_by_stream(spark: SparkSession, d: str, before: Callable[[DedupJob, DataFrame], None]) -> DataFrame:
+    """The late part of the log through a stream whose root ``before`` has made ready."""
+    log = event_log(spark, d, LANES)
+    root, source, checkpoint = (scratch_path(spark, label) for label in ("stream", "parts", "stream-state"))
+    job = DedupJob(spark, root)
+    before(job, log)
+    held = job.output().count() + job.output("kickout").count()
+    pos.resume_after(log, _midway(log)).write.parquet(source)
+    rows = stream_files(spark, source, log.schema)
+    control.run_to_end(sdedup.start_dedup(rows, root, checkpoint, known="registry", seen="ts"))
+    return _flagged_batch(job, 1 if held else 0)
+
+
+@register(
+    f"""{_EXTENDED} SELECT "offset", "key", "key" IN (SELECT "key" FROM known
+    WHERE first_seen >= TIMESTAMP '{PURGE}') OR "offset" <> min("offset") OVER (PARTITION BY "key")
+    AS is_duplicate FROM late"""
+)
+def d10_stream_purged_between_parts(spark: SparkSession, d: str) -> DataFrame:
+    """A stream reads the early part, old keys are purged, and a new run reads the rest."""
+
+    def early(job: DedupJob, log: DataFrame) -> None:
+        source, checkpoint = scratch_path(spark, "parts"), scratch_path(spark, "stream-state")
+        pos.up_to(log, _midway(log)).write.parquet(source)
+        rows = stream_files(spark, source, log.schema)
+        control.run_to_end(sdedup.start_dedup(rows, job.root, checkpoint, known="registry", seen="ts"))
+        job.purge(F.lit(PURGE).cast("timestamp_ntz"))
+
+    return _late_by_stream(spark, d, early)
+
+
+@register(f"{_EXTENDED} {_LATE}")
+def d12_stream_from_backup(spark: SparkSession, d: str) -> DataFrame:
+    """A stream begins with the registry and positions that a job backed up."""
+
+    def restored(job: DedupJob, log: DataFrame) -> None:
+        old, path = _midway_job(spark, log), scratch_path(spark, "backup")
+        reg.backup(old.registry(), path, batch_id=0)
+        job.restore(reg.restore(spark, path, batch_id=0), old.positions())
+
+    return _late_by_stream(spark, d, restored)
+
+
 @register(f'SELECT "key", min("offset") AS first_offset FROM {_LOG} GROUP BY 1')
 def d4_stream_registry(spark: SparkSession, d: str) -> DataFrame:
     root, _, _ = _run_dedup(spark, d)
@@ -1146,7 +1253,9 @@ def b6_stopped_buffer(spark: SparkSession, d: str) -> DataFrame:
     return sink.read_flushes(spark, path).select(*buf.EVENT_COLUMNS, "pos")
 
 
-def _dedup_by_parts(spark: SparkSession, d: str, *logs: Callable[[str, str], monitor.StreamingQueryListener]) -> list[str]:
+def _dedup_by_parts(
+    spark: SparkSession, d: str, *logs: Callable[[str, str], monitor.StreamingQueryListener], known: str = "counts"
+) -> list[str]:
     """The log arrives in four parts, each a micro-batch of a query started anew.
 
     ``logs`` make listeners from (path, root); their tables' paths are returned, once
@@ -1160,7 +1269,7 @@ def _dedup_by_parts(spark: SparkSession, d: str, *logs: Callable[[str, str], mon
         for part in range(LANES):
             log.where(F.floor(F.col("offset") / size) == part).write.mode("append").parquet(source)
             rows = stream_files(spark, source, log.schema)
-            control.run_to_end(sdedup.start_dedup(rows, root, checkpoint, query_name=_QUERY_NAME))
+            control.run_to_end(sdedup.start_dedup(rows, root, checkpoint, query_name=_QUERY_NAME, known=known))
         control.wait_for(lambda: all(_parts_logged(spark, path) == LANES for path in paths))
     return paths
 
@@ -1184,6 +1293,15 @@ def m2_commit_log(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(path).select("batch_id", "input_rows", "name")
 
 
+@register(f"""SELECT "offset" // {_QUARTER} AS batch_id, count(*) AS input_rows FROM {_LOG} GROUP BY 1""")
+def m2_rows_read_once(spark: SparkSession, d: str) -> DataFrame:
+    """Spark's own count of input rows, of a stream on the registry over four micro-batches."""
+    (path,) = _dedup_by_parts(
+        spark, d, lambda path, root: monitor.CommitLog(spark, path, _QUERY_NAME), known="registry"
+    )
+    return spark.read.parquet(path).where("input_rows > 0").select("batch_id", "input_rows")
+
+
 @register(
     f"""WITH r AS (SELECT "offset" // {_QUARTER} AS b, row_number() OVER (PARTITION BY "key"
     ORDER BY "offset") = 1 AS new FROM {_LOG}), n AS (SELECT b, count(*) FILTER (new) AS n FROM r GROUP BY 1)

@@ -64,6 +64,10 @@ class DedupJob:
         self._buckets = buckets
         self._lease_seconds = lease_seconds
 
+    @property
+    def root(self) -> str:
+        return self._root
+
     def _state(self) -> Manifest:
         return newest(self._spark, self._root)
 
