@@ -6,10 +6,12 @@ column the caller flushes by: an event-time window or the batch of arrival.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.events import sort_key, upper_payload
-from .ranking import with_position
+from .ranking import with_stored_position
 
 EVENT_COLUMNS = ["eventType", "id", "payload"]
 
@@ -19,8 +21,10 @@ def flush_window(interval: str, ts: str = "ts") -> Column:
 
     Windows are aligned to the epoch, and the start has the type of ``ts``. By arithmetic, as the
     built-in window function takes rows without a time out of the whole frame; here they
-    get a null.
+    get a null. Months and years have no fixed length: use ``date_trunc`` for those.
     """
+    if re.search(r"(?i)\b(month|quarter|year)s?\b", interval):
+        raise ValueError(f"{interval} has no fixed length; flush by date_trunc instead")
     past = f"pmod(unix_micros(CAST({ts} AS TIMESTAMP)), unix_micros(timestamp_micros(0) + INTERVAL {interval}))"
     return F.expr(f"{ts} - make_dt_interval(0, 0, 0, CAST({past} / 1000000BD AS DECIMAL(18, 6)))")
 
@@ -73,7 +77,7 @@ def sort_flushes(buffered: DataFrame, flush: str = "flush_id", across_lanes: boo
     """
     groups = [flush] if across_lanes else [flush, "partition"]
     order = ["sort_key", "partition"] if across_lanes else ["sort_key"]
-    return with_position(buffered, groups, order)
+    return with_stored_position(buffered, groups, order)
 
 
 def emit(sorted_rows: DataFrame, flush: str = "flush_id") -> DataFrame:

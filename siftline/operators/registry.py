@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..session import settle
 from ..sources.positions import resume_after, up_to
 from .dedup import first_positions, flag_records, identity
 from .joins import fits_broadcast, join_skewed
@@ -84,17 +85,32 @@ def rebuild(
 
 
 def check_rebuild(log: DataFrame, registry: DataFrame, output: DataFrame) -> DataFrame:
-    """Values that the rebuilt registry and the output topic disagree on.
+    """Values that the rebuilt registry and the output topic disagree on, each once.
 
     ``side`` is ``missing`` for a first record whose value never reached the
-    output, ``unexpected`` for an output value that no first record has.
+    output, ``unexpected`` for an output value that no first record has. A null equals a null.
+
+    Values are compared by digest: one aggregate with a count for each side finds the digests
+    that stand on one side only, and then the values themselves of these, which are few
+    unless something went wrong.
     """
     places = registry.select(F.col("first_offset").alias("offset"), "partition", "key")
-    expected = log.join(places, ["offset", "partition", "key"], "left_semi").select("value").distinct()
-    written = output.select("value").distinct()
-    missing = expected.join(written, "value", "left_anti").withColumn("side", F.lit("missing"))
-    extra = written.join(expected, "value", "left_anti").withColumn("side", F.lit("unexpected"))
-    return missing.unionByName(extra)
+    digest = F.sha2(F.coalesce(F.concat(F.lit("v"), F.col("value").cast("string")), F.lit("")), 256).alias("digest")
+    expected = log.select("offset", "partition", "key", digest).join(places, ["offset", "partition", "key"], "left_semi")
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    both = expected.select("digest", one.alias("a"), none.alias("b")).union(output.select(digest, none, one))
+    apart = settle(
+        both.groupBy("digest")
+        .agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+        .where("a = 0 or b = 0")
+        .select("digest", F.when(F.col("b") == 0, "missing").otherwise("unexpected").alias("side"))
+    )
+    sides = []
+    for rows, side in ((log, "missing"), (output, "unexpected")):
+        wanted = apart.where(F.col("side") == side)
+        found = rows.select("value", digest).join(wanted, "digest")
+        sides.append(found.groupBy("digest", "side").agg(F.first("value").alias("value")).select("value", "side"))
+    return sides[0].unionByName(sides[1])
 
 
 def backup(registry: DataFrame, path: str, batch_id: int) -> None:

@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
-from ..operators.buffer import EVENT_COLUMNS, buffer_and_sort, emit, prepare, sort_flushes
+from ..operators.buffer import EVENT_COLUMNS, buffer_and_sort, emit, prepare, sort_flushes, upsert
 from ..sinks.committed import write_flushes
 from .control import start_batches
 
@@ -37,10 +38,12 @@ def _latest(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 class EventBuffer(StatefulProcessor):
-    """One shard of one lane's buffer for one tick, an upsert map by sort key.
+    """One shard of one lane's buffer for one tick: chunks of events as they came.
 
     The tick is part of the grouping key: events after a boundary open the next
-    buffer while the old one waits for its timer.
+    buffer while the old one waits for its timer. A chunk is one call to the state, both when it
+    is added and when it is flushed; which event of a sort key is the latest is decided
+    after the flush, by an aggregate in the JVM.
     """
 
     def __init__(self, interval_ms: int):
@@ -48,35 +51,22 @@ class EventBuffer(StatefulProcessor):
 
     def init(self, handle) -> None:
         self._handle = handle
-        self._buffer = handle.getMapState("buffer", "sort_key string", _EVENT)
+        self._buffer = handle.getListState("buffer", "sort_key string, " + _EVENT)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        placed: dict[str, int] = {}
         for chunk in rows:
-            for row in chunk[["sort_key", *_ENTRY]].itertuples(index=False):
-                offset = int(row.offset)
-                if placed.get(row.sort_key, -1) <= offset:
-                    placed[row.sort_key] = offset
-                    entry = tuple(None if pd.isna(v) else v for v in row[2:])
-                    self._buffer.updateValue((row.sort_key,), (offset, *entry))
+            # missing ids are null, not the float that pandas makes of them
+            plain = chunk[["sort_key", *_ENTRY]].astype(object).where(chunk[["sort_key", *_ENTRY]].notna(), None)
+            self._buffer.appendList([(r[0], int(r[1]), *r[2:]) for r in plain.itertuples(index=False)])
         self._handle.registerTimer((int(key[0]) + 1) * self._interval_ms)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        chunk: list[tuple] = []
-        for (sort_key,), event in self._buffer.iterator():
-            chunk.append((int(key[0]), int(key[1]), sort_key, *event))
-            if len(chunk) == _CHUNK:
-                yield self._frame(chunk)
-                chunk = []
-        if chunk:
-            yield self._frame(chunk)
+        held = self._buffer.get()
+        while chunk := list(islice(held, _CHUNK)):
+            yield pd.DataFrame([(int(key[0]), int(key[1]), *r) for r in chunk], columns=["flush_id", "partition", "sort_key", *_ENTRY])
         self._buffer.clear()
 
-    @staticmethod
-    def _frame(rows: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(rows, columns=["flush_id", "partition", "sort_key", *_ENTRY])
-
     def close(self) -> None:
         pass
 
@@ -95,6 +85,9 @@ def _with_clock(rows: DataFrame) -> DataFrame:
 def buffer_stream(events: DataFrame, interval_seconds: float = 2.0, shards: int | None = None) -> DataFrame:
     """Buffered events, emitted unsorted once the wall-clock tick they arrived in is over.
 
+    An event comes once per chunk that had its sort key; :func:`~siftline.operators.buffer.upsert`
+    leaves the latest.
+
     ``flush_id`` is the number of the tick. A lane is split into ``shards`` by
     sort key (default: the session's shuffle partitions); all shards flush on the
     same ticks, so the split does not show in the result.
@@ -130,9 +123,11 @@ def _start_sorted(
     across_lanes: bool,
     interval: str | None,
     query_name: str | None,
+    latest: bool = False,
 ) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_flushes(emit(sort_flushes(batch, flush, across_lanes), flush), path, flush)
+        rows = upsert(batch, flush) if latest else batch
+        write_flushes(emit(sort_flushes(rows, flush, across_lanes), flush), path, flush)
 
     return start_batches(buffered, write, checkpoint, interval, query_name=query_name)
 
@@ -185,6 +180,7 @@ def start_buffer_sort(
         across_lanes,
         trigger_interval,
         query_name,
+        latest=True,
     )
 
 
@@ -233,9 +229,8 @@ def live_buffer(spark: SparkSession, checkpoint: str, batch_id: int | None = Non
     reader = spark.read.format("statestore").option("stateVarName", "buffer")
     if batch_id is not None:
         reader = reader.option("batchId", batch_id)
-    return reader.load(checkpoint).select(
-        "key.flush_id", "key.partition", F.col("user_map_key.sort_key").alias("sort_key"), "user_map_value.*"
-    )
+    held = reader.load(checkpoint).select("key.flush_id", "key.partition", "list_element.*")
+    return upsert(held)
 
 
 def drained(query: StreamingQuery) -> bool:

@@ -137,3 +137,10 @@ def test_events_without_type_payload_or_time_are_not_lost(spark, tmp_path):
     sort_log(log.selectExpr("*", "CAST(at AS timestamp) AS ts"), buf.flush_window("1 hour"), path, rejects)
     assert read_flushes(spark, path).count() == 1
     assert sorted(r["reason"] for r in spark.read.parquet(rejects).collect()) == ["malformed json", "missing time"]
+
+
+def test_windows_have_a_fixed_length():
+    for interval in ("1 month", "2 YEARS", "1 quarter"):
+        with pytest.raises(ValueError, match="date_trunc"):
+            buf.flush_window(interval)
+    buf.flush_window("90 minutes")

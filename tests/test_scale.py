@@ -152,3 +152,42 @@ def test_batch_operators_stay_in_the_jvm(spark):
     for name in ("d1_classify", "d2_keep_first", "d6_dedup_against_earlier", "b3_sorted_flushes", "j1_parse_events"):
         text = plan(catalog.QUERIES[name](spark, SF_DIR))
         assert "Python" not in text and "InPandas" not in text and "Cartesian" not in text
+
+
+def test_payloads_stay_out_of_checkpoints(spark, monkeypatch):
+    """Sorted blocks are read twice: by their group and row number, and once with all columns."""
+    settled = []
+
+    def watched(df):
+        settled.append((df.columns, plan(df)))
+        return settle(df)
+
+    monkeypatch.setattr(ranking, "settle", watched)
+    events = spark.range(0, 5_000, 1, 4).selectExpr(
+        "id % 3 AS flush_id", "0 AS partition", "id AS offset", "'A' AS eventType", "sha2(cast(id AS string), 256) AS id", "'x' AS payload"
+    )
+    emitted = buf.buffer_and_sort(events)
+    assert emitted.count() == 5_000
+    assert [columns for columns, _ in settled] == [["_g_flush_id", "_g_partition", "_b", "_base"]]
+    assert "ReadSchema: struct<flush_id:bigint,partition:int,_row:bigint>" in settled[0][1]
+    got = emitted.groupBy("flush_id").agg(F.max("pos").alias("n"), F.count_distinct("pos").alias("d")).collect()
+    assert sorted((r["n"], r["d"]) for r in got) == [(1666, 1666), (1667, 1667), (1667, 1667)]
+
+
+def test_check_rebuild_shuffles_digests(spark, hot_log, monkeypatch):
+    """The wide values of both sides are aggregated only where the sides disagree."""
+    settled = []
+
+    def watched(df):
+        settled.append(plan(df))
+        return settle(df)
+
+    monkeypatch.setattr(reg, "settle", watched)
+    wrong = hot_log.where("offset <> 1").selectExpr("value").unionByName(spark.createDataFrame([("x",), ("x",), (None,)], "value string"))
+    got = reg.check_rebuild(hot_log, reg.build_registry(hot_log), wrong).collect()
+    first = hot_log.where("offset = 1").first()["value"]
+    hot = 10_000 - 1
+    assert sorted((r["value"] or "", r["side"]) for r in got if r["side"] == "missing") == [(first, "missing")]
+    assert sum(r["side"] == "unexpected" for r in got) == hot + 2
+    (text,) = settled
+    assert text.count("sha2") >= 2 and "value" not in text[: text.index("sha2")]
