@@ -19,7 +19,7 @@ from ..functions.keys import hashed_key, plain_key, with_key
 from ..operators import buffer as buf, dedup, registry as reg
 from ..operators.accounting import batch_accounting
 from ..operators.ranking import with_position
-from ..session import scratch_path
+from ..session import scratch_path, settle
 from ..sinks import committed as sink
 from ..sources import batches, positions as pos
 from ..sources.logs import read_table, stream_files, to_records
@@ -1315,3 +1315,32 @@ def m3_state_report(spark: SparkSession, d: str) -> DataFrame:
         .groupBy("batch_id")
         .agg(F.sum("state_rows").alias("state_rows"), F.count_distinct("run_id").alias("runs"))
     )
+
+
+@register(
+    f"""WITH half AS (SELECT "key", "offset" < (SELECT ceil((max("offset") + 1) / 2) FROM {_LOG}) AS early FROM {_LOG})
+    SELECT * FROM (SELECT CAST(0 AS BIGINT) AS newest_batch, count(DISTINCT "key") AS entries, CAST(0 AS BIGINT) AS partitions_off
+    FROM half WHERE early UNION ALL SELECT 1, count(DISTINCT "key"), 0 FROM half)"""
+)
+def m3_restored_partitions(spark: SparkSession, d: str) -> DataFrame:
+    """State entries of each partition after two runs, against the partition that each key hashes to."""
+    log = event_log(spark, d)
+    source, root, checkpoint = (scratch_path(spark, label) for label in ("parts", "stream", "stream-state"))
+    half = log.select(F.ceil((F.max("offset") + 1) / 2)).first()[0]
+    out = None
+    for batch, part in enumerate((F.col("offset") < half, F.col("offset") >= half)):
+        log.where(part).write.mode("append").parquet(source)
+        control.run_to_end(sdedup.start_dedup(stream_files(spark, source, log.schema), root, checkpoint))
+        state = monitor.restored_state(spark, checkpoint)
+        n = state.count()
+        keys = log.where(F.col("offset") < half) if batch == 0 else log
+        own = F.pmod(F.hash("key"), F.lit(n)).alias("partition")
+        wanted = keys.select("key").distinct().groupBy(own).agg(F.count(F.lit(1)).alias("wanted"))
+        told = state.join(wanted, "partition", "left").agg(
+            F.max("newest_batch").alias("newest_batch"),
+            F.sum("entries").alias("entries"),
+            F.count_if(F.col("entries") != F.coalesce("wanted", F.lit(0))).alias("partitions_off"),
+        )
+        # settled, as the second run adds to the state
+        out = settle(told) if out is None else out.unionByName(told)
+    return out

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -86,6 +87,47 @@ def state_report(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     return spark.createDataFrame([r for p in query.recentProgress for r in _state_rows(p)], STATE)
 
 
+def _state_variables(properties: str | None) -> list[str]:
+    """Names of an operator's own state variables; none for Spark's built-in operators."""
+    raw = json.loads(properties) if properties else {}
+    infos = raw.get("stateVariables", [])
+    return sorted(v["stateName"] for v in (json.loads(infos) if isinstance(infos, str) else infos) if not v["stateName"].startswith("$"))
+
+
+def restored_state(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """``operator, state, partition, entries, newest_batch``: what a restart restores, or did as of a batch.
+
+    One row per stateful operator, state variable and state partition, also for empty ones.
+    How long a restart took to load them is in :class:`StateLog`.
+    """
+    operators = spark.read.format("state-metadata").load(checkpoint).distinct().collect()
+    found = None
+    for op in {(o["operatorId"], o["operatorName"], o["numPartitions"], o["maxBatchId"], o["operatorProperties"]) for o in operators}:
+        number, name, partitions, newest, properties = op
+        for state in _state_variables(properties) or [None]:
+            reader = spark.read.format("statestore").option("operatorId", number)
+            if state is not None:
+                reader = reader.option("stateVarName", state)
+            if batch_id is not None:
+                reader = reader.option("batchId", batch_id)
+            held = reader.load(checkpoint).groupBy("partition_id").agg(F.count(F.lit(1)).alias("entries"))
+            rows = (
+                spark.range(partitions)
+                .join(held, F.col("id") == F.col("partition_id"), "left")
+                .select(
+                    F.lit(name).alias("operator"),
+                    F.lit(state or "default").alias("state"),
+                    F.col("id").cast("int").alias("partition"),
+                    F.coalesce("entries", F.lit(0)).cast("long").alias("entries"),
+                    F.lit(newest if batch_id is None else batch_id).cast("long").alias("newest_batch"),
+                )
+            )
+            found = rows if found is None else found.unionByName(rows)
+    if found is None:
+        return spark.createDataFrame([], "operator string, state string, partition int, entries long, newest_batch long")
+    return found
+
+
 class _ProgressLog(StreamingQueryListener):
     """Appends rows per finished micro-batch to a table folder, of one query name or of all."""
 
