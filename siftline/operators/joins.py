@@ -15,6 +15,14 @@ def fits_broadcast(table: DataFrame) -> bool:
     return (table.agg(F.sum(row)).first()[0] or 0) <= BROADCAST_BYTES
 
 
+def free_name(base: str, *tables: DataFrame) -> str:
+    """A column name like ``base`` that none of the tables has."""
+    taken = {c.lower() for t in tables for c in t.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 def join_skewed(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Equi-join a left side with hot keys to a right side that holds each key once.
 
@@ -27,7 +35,8 @@ def join_skewed(left: DataFrame, right: DataFrame, keys: list[str], how: str) ->
     for k in keys:
         if left.schema[k].dataType != right.schema[k].dataType:
             raise TypeError(f"{k} has different types on the two sides")
-    hashed = F.xxhash64(*keys).alias("_hash")
-    joined = left.select(hashed, "*").join(right.select(hashed, "*"), ["_hash", *keys], how)
+    name = free_name("_hash", left, right)
+    hashed = F.xxhash64(*keys).alias(name)
+    joined = left.select(hashed, "*").join(right.select(hashed, "*"), [name, *keys], how)
     kept = [c for c in right.columns if c not in left.columns] if how in ("left", "inner") else []
     return joined.select(*left.columns, *kept)
