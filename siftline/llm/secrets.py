@@ -20,8 +20,9 @@ KINDS = ("assign", "access", "hex", "random")
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 TOKEN = r"([A-Za-z0-9+/_=-]{20,})"
-# What counts as an ordinary identifier in training: words, joined or numbered, and numbers.
-ORDINARY = r"(?<![A-Za-z0-9+/_=-])((?=[A-Za-z0-9_-]{8})(?:[A-Za-z]+(?:[_-][A-Za-z]+)*[0-9]{0,3}|[0-9]+))(?![A-Za-z0-9+/_=-])"
+# What counts as an ordinary identifier in training: words, joined or numbered, and numbers. The repeats are
+# possessive: a repeated group that may give back is matched by recursion, which a long identifier exhausts.
+ORDINARY = r"(?<![A-Za-z0-9+/_=-])((?=[A-Za-z0-9_-]{8})(?:[A-Za-z]++(?:[_-][A-Za-z]++)*+[0-9]{0,3}|[0-9]++))(?![A-Za-z0-9+/_=-])"
 # The labelled sample: identifiers from so many documents, and so many random strings of each kind.
 SAMPLE_DOCS = 2000
 SAMPLE_RANDOM = 1000
@@ -112,12 +113,13 @@ def base_spans(text: Column) -> Column:
 
 def bigrams(strings: DataFrame, column: str) -> DataFrame:
     """Counts of neighbouring characters of the alphabet: ``a, b, n``."""
-    pair = F.explode(
-        F.transform(F.sequence(F.lit(1), F.length(column) - 1), lambda i: F.substring(column, i, F.lit(2)))
-    )
+    # the characters beside themselves moved by one; cutting each pair out of a long string would cost its square
+    characters = F.split(column, "")
+    pair = F.explode(F.zip_with(characters, F.slice(characters, F.lit(2), F.length(column)), lambda a, b: F.concat(a, b)))
     return (
         strings.filter(F.length(column) > 1)
         .select(pair.alias("pair"))
+        .filter(F.length("pair") == 2)
         .groupBy(F.substring("pair", 1, 1).alias("a"), F.substring("pair", 2, 1).alias("b"))
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -39,8 +39,8 @@ def shard(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text: str =
     """One row per input row: ``doc_id, size, text_crc32, law, shard, slot, grown_shard``.
 
     Rows with equal texts form a group and share a shard; a null text counts as
-    empty. A group beyond the capacity of a shard cannot stay whole: it is dealt
-    into pieces by a hash of the id. Groups are weighed by partial aggregates, so a hot
+    empty. A group beyond the capacity of a shard cannot stay whole: its rows are dealt
+    into pieces in turn, also where they have one id or none. Groups are weighed by partial aggregates, so a hot
     group is a few rows in the shuffle. ``slot`` numbers a shard's rows from 0, by
     group and id. The law is ``bytes``: sizes are near equal, so ``grown_shard`` is null.
     An empty table gives no rows; other columns are left out.
@@ -54,6 +54,7 @@ def shard(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text: str =
             F.crc32(F.encode(t, "UTF-8")).alias("text_crc32"),
             F.md5(F.encode(t, "UTF-8")).alias("_group"),
             n_words_of(t).alias("_tokens"),
+            F.monotonically_increasing_id().alias("_row"),
         ),
         "sharding",
     )
@@ -78,7 +79,7 @@ def shard(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text: str =
         F.when(F.col("_pieces").isNull(), F.concat(F.lit("bundle "), F.pmod(F.xxhash64("_group"), F.lit(bundles))))
         .when(F.col("_pieces") <= 1, F.col("_group"))
         .otherwise(
-            F.concat_ws(" ", "_group", F.pmod(F.xxhash64("doc_id"), F.col("_pieces").cast("long")))
+            F.concat_ws(" ", "_group", F.pmod("_row", F.col("_pieces").cast("long")))
         ),
     )
     items = named.groupBy("_item").agg(F.sum("size"), F.sum("_tokens"), F.count(F.lit(1))).orderBy("_item").collect()

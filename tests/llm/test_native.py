@@ -252,3 +252,19 @@ def test_licenses_are_inherited_from_the_nearest_directory(spark):
         1: ("MIT", None, None), 2: ("MIT", "a", 1), 3: ("Apache-2.0", None, None), 4: ("Apache-2.0", "a/b/c", 1),
         5: ("CC-BY-NC-4.0", None, None), 6: (None, None, None), 7: (None, None, None), 8: ("Apache-2.0", "a/b/c", 1), 9: (None, None, None),
     }
+
+
+@pytest.mark.parametrize("text", ["ab_" * 100_000 + "c", "a-" * 100_000 + "9", "x" * 500_000, "Ab1+" * 100_000, "token=" * 50_000, "9" * 300_000])
+def test_secrets_of_long_identifiers(spark, text):
+    """Patterns with repeats must not be matched by recursion: a long match would end the JVM."""
+    (row,) = secrets.report(secrets.scan(spark.createDataFrame([(1, text, None, None, 0)], DOCS))).collect()
+    n_assign, n_access, n_hex, told = brute.secrets(text)
+    assert (row["n_assign"], row["n_access"], row["n_hex"]) == (n_assign, n_access, n_hex)
+    assert row["base_sha256"] == hashlib.sha256(told.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("ids", [[None] * 480, [5] * 480, list(range(480))])
+def test_one_text_beyond_a_shard_is_dealt_out_evenly(spark, ids):
+    docs = spark.createDataFrame([(i, "the same text for all of them", "en", "a", 0) for i in ids], DOCS).repartition(3)
+    sizes = sharding.shard(docs).groupBy("shard").count().collect()
+    assert len(sizes) == 24 and max(r["count"] for r in sizes) - min(r["count"] for r in sizes) <= 6
