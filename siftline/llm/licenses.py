@@ -21,8 +21,9 @@ NAMES = r"(?i)^(licen[sc]e|copying|notice|unlicense)([.-].*)?$"
 TOKEN = r"[a-z0-9]+"
 SIMILAR = 0.7
 
-_ID = r"\(*[A-Za-z0-9][A-Za-z0-9.+-]*\)*"
-SPDX = rf"SPDX-License-Identifier:[ \t]*({_ID}(?:[ \t]+(?:AND|OR|WITH)[ \t]+{_ID})*)"
+_ID = r"\(*+[A-Za-z0-9][A-Za-z0-9.+-]*+\)*+"
+# Possessive, as a repeated group that may give back is matched by recursion, which a long line exhausts.
+SPDX = rf"SPDX-License-Identifier:[ \t]*({_ID}(?:[ \t]++(?:AND|OR|WITH)[ \t]++{_ID})*+)"
 SPDX_LINE = r"(?m)^.*SPDX-License-Identifier:.*$"
 # A statement of who holds the rights, without a grant.
 HOLDER = r"(?im)^[^\w\n]*(?:portions )?(?:copyright\b|\(c\)|©)(?!.*(?:licen[sc]|permi|public domain|redistribut)).*(?:\d{4}|\(c\)|©|\[yyyy\]|<year>).*$|^[^\w\n]*all rights reserved\.?[ \t]*$"
@@ -69,19 +70,24 @@ def pieces_of(paragraph: Column) -> Column:
 
 def parts_of(texts: DataFrame) -> DataFrame:
     """``_row, level, b, p, part`` of ``_row, _clean`` rows: all parts, none that says what the one around it says."""
+    # Rows of parts carry a digest of what is around them, not the text itself: with the text, many
+    # parts would cost the square of its length.
+    says = lambda part: F.md5(words_in(F.col(part)))
     whole = texts.select("_row", F.lit(TEXT).alias("level"), F.lit(-1).alias("b"), F.lit(-1).alias("p"), F.col("_clean").alias("part"))
-    blocks = texts.select("_row", F.col("_clean"), F.posexplode(blocks_of(F.col("_clean"))).alias("b", "block"))
-    paragraphs = blocks.select("_row", "b", "block", F.posexplode(F.split("block", "\n\n")).alias("p", "paragraph"))
-    pieces = paragraphs.select("_row", "b", "p", "paragraph", F.inline(pieces_of(F.col("paragraph"))))
+    blocks = texts.select("_row", says("_clean").alias("text"), F.posexplode(blocks_of(F.col("_clean"))).alias("b", "block"))
+    told = blocks.select("_row", "b", "block", says("block").alias("block_says"))
+    paragraphs = told.select("_row", "b", "block_says", F.posexplode(F.split("block", "\n\n")).alias("p", "paragraph"))
+    told = paragraphs.select("_row", "b", "p", "paragraph", says("paragraph").alias("paragraph_says"))
+    pieces = told.select("_row", "b", "p", "paragraph_says", F.inline(pieces_of(F.col("paragraph"))))
 
     def inside(df: DataFrame, level: Column, p: Column, part: str, around: str) -> DataFrame:
-        df = df.filter(words_in(F.col(part)) != words_in(F.col(around)))
+        df = df.filter(says(part) != F.col(around))
         return df.select("_row", level.alias("level"), "b", p.alias("p"), F.col(part).alias("part"))
 
     return (
-        whole.unionByName(inside(blocks, F.lit(BLOCK), F.lit(-1), "block", "_clean"))
-        .unionByName(inside(paragraphs, F.lit(PARAGRAPH), F.col("p"), "paragraph", "block"))
-        .unionByName(inside(pieces, F.col("level"), F.col("p"), "part", "paragraph"))
+        whole.unionByName(inside(blocks, F.lit(BLOCK), F.lit(-1), "block", "text"))
+        .unionByName(inside(paragraphs, F.lit(PARAGRAPH), F.col("p"), "paragraph", "block_says"))
+        .unionByName(inside(pieces, F.col("level"), F.col("p"), "part", "paragraph_says"))
     )
 
 

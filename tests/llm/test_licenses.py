@@ -1,6 +1,7 @@
 """Licences by standard headers, whole texts and SPDX tags as files carry them."""
 
 import textwrap
+import time
 
 import pytest
 
@@ -88,3 +89,24 @@ def found(spark):
 def test_licence_of(found, i):
     want, text = CASES[i]
     assert found[i] == want, text[:300]
+
+
+def test_long_tags_and_lines(spark):
+    """Neither a long expression nor a long line may exhaust the matcher."""
+    tag = "MIT" + " OR MIT" * 5_000
+    texts = [f"# SPDX-License-Identifier: {tag}\n", "license " * 100_000, "(" * 50_000 + " license", "a.b-" * 100_000 + " copyright 2020"]
+    files = spark.createDataFrame([(i, f"d{i}/x", t) for i, t in enumerate(texts)], "doc_id long, path string, text string")
+    got = {r["doc_id"]: r["own_license"] for r in licenses.scan(files, "doc_id", files.path).collect()}
+    assert got == {0: tag, 1: None, 2: None, 3: None}
+
+
+def test_many_notices_cost_in_proportion(spark):
+    """A text of many different notices: ten times as many may not take a hundred times as long."""
+    seconds = []
+    for n in (500, 500, 5_000):
+        text = "\n\n".join(f"Copyright holder number {i} grants no license for part {i}." for i in range(n))
+        files = spark.createDataFrame([(1, "d/x", text)], "doc_id long, path string, text string")
+        start = time.perf_counter()
+        licenses.scan(files, "doc_id", files.path).collect()
+        seconds.append(time.perf_counter() - start)
+    assert seconds[2] < 25 * seconds[1]
