@@ -113,9 +113,12 @@ def mix(
     weights: tuple[int, ...] = WEIGHTS,
     max_repeats: int = MAX_REPEATS,
     seed: int = SEED,
+    row: str | None = None,
 ) -> DataFrame:
     """How often each document is taken: ``doc_id, size, source_size, target, taken, copies``.
 
+    ``row`` names a column to hand on as ``row``, which tells apart rows that repeat an id.
+
     A null text has size 0, rows without a source form a source of their own,
     repeated rows are sampled each for itself, an empty table gives no rows, and
     other columns are left out. A source without words has target 0 and no copies.
@@ -123,7 +126,8 @@ def mix(
     """
     sizes = stored(
         docs.select(
-            F.col(id_col).alias("_id"), F.col(source).alias("_source"), n_words_of(text_of(text)).alias("size")
+            F.col(id_col).alias("_id"), F.col(source).alias("_source"), n_words_of(text_of(text)).alias("size"),
+            *([] if row is None else [F.col(row).alias("_given")]),
         ),
         "sizes",
     )
@@ -135,4 +139,5 @@ def mix(
         "target",
         (F.col("copies") * F.col("size")).alias("taken"),
         "copies",
+        *([] if row is None else [F.col("_given").alias("row")]),
     )
