@@ -282,10 +282,33 @@ def repeated(texts: list[bytes], doc: np.ndarray, start: np.ndarray, shard_bytes
     return piece[head], offset[head], np.diff(np.append(head, len(offset)))
 
 
+def shared_runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``text, window, n``: the maximal runs of windows whose hash some other window of the texts has.
+
+    Windows of different hashes are different, so the windows left out are repeated nowhere.
+    """
+    lengths = np.array([len(t) for t in texts], dtype=np.int64)
+    offsets = np.append(0, np.cumsum(lengths))
+    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    at = np.arange(len(data))
+    at = at[at + SIZE <= np.repeat(offsets[1:], lengths)]
+    hashes = span_hashes(prefix_hashes(data), at, at + SIZE)
+    order = np.argsort(hashes)
+    same = hashes[order][1:] == hashes[order][:-1]
+    twice = np.zeros(len(at), dtype=bool)
+    twice[order[1:][same]] = True
+    twice[order[:-1][same]] = True
+    at = at[twice]
+    text = np.searchsorted(offsets, at, side="right") - 1
+    head = np.flatnonzero(heads(text, at - np.arange(len(at))))
+    return text[head], (at - offsets[text])[head], np.diff(np.append(head, len(at)))
+
+
 def compare_pieces(batches):
     """Rows of repeated windows from the pieces of a task; rows without text pass through.
 
-    Pieces of one minimizer are compared together, those of several only to fill a chunk.
+    Pieces of one minimizer are compared together, those of several only to fill a chunk. Of
+    the pieces the transforms get the stretches that share a window hash with another one.
     """
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n", pa.int32())])
     parts = []
@@ -306,8 +329,14 @@ def compare_pieces(batches):
     # a chunk begins with the first minimizer that begins in it
     chunk = np.append(np.flatnonzero(heads(at[:-1] // CHUNK_BYTES)), len(first) - 1)
     for a, b in zip(first[chunk[:-1]].tolist(), first[chunk[1:]].tolist()):
-        piece, window, n = repeated(texts[a:b].to_pylist(), doc[a:b], start[a:b])
-        yield rows_of(schema, doc[a:b][piece], start[a:b][piece] + window, n.astype(np.int32))
+        whole = texts[a:b].to_pylist()
+        piece, window, n = shared_runs(whole)
+        if not len(piece):
+            continue
+        cut = [whole[i][w : w + k + SIZE - 1] for i, w, k in zip(piece.tolist(), window.tolist(), n.tolist())]
+        own_doc, own_start = doc[a:b][piece], start[a:b][piece] + window
+        piece, window, n = repeated(cut, own_doc, own_start)
+        yield rows_of(schema, own_doc[piece], own_start[piece] + window, n.astype(np.int32))
 
 
 def take_out(batches):
