@@ -486,3 +486,14 @@ def test_commit_log_state_report_and_console(spark, folder, paths, tmp_path):
     control.run_to_end(printed, 60)
     assert printed.name == "output" and "Console" in printed.lastProgress.sink.description
     assert sum(p.sink.numOutputRows for p in printed.recentProgress) == 3
+
+
+def test_restored_state_by_partition(spark, folder, paths):
+    """Every state partition has a row, and a restart finds what the run before it left there."""
+    folder.add(*[(0, o, f"k{o % 5}", "v") for o in range(20)])
+    control.run_to_end(sdedup.start_dedup(folder.stream(), *paths), 120)
+    found = monitor.restored_state(spark, paths[1]).collect()
+    assert [r["partition"] for r in sorted(found)] == list(range(4))
+    own = spark.range(5).selectExpr("pmod(hash(concat('k', id)), 4) AS p").groupBy("p").count().collect()
+    assert {r["partition"]: r["entries"] for r in found if r["entries"]} == {r["p"]: r["count"] for r in own}
+    assert {(r["operator"], r["state"], r["newest_batch"]) for r in found} == {("stateStoreSave", "default", 0)}
