@@ -27,8 +27,8 @@ from .tables import stored, text_of
 ORDER = 2
 HELD_OUT = 10
 # Tokens that a task counts before it hands the counts on, and scores at once.
-COUNTED_AT_ONCE = 1 << 22
-SCORED_AT_ONCE = 1 << 21
+COUNTED_AT_ONCE = 1 << 21
+SCORED_AT_ONCE = 1 << 20
 # One shard for so many bytes of text, about two million tokens.
 SHARD_BYTES = 12 << 20
 # Words that make up this share of all tokens or more, 4096 at most, have their n-grams spread over all shards.
