@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import sys
+import unicodedata
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +16,7 @@ RUN_BYTES = 1 << 20
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-# ASCII letters and digits and all that is not ASCII make tokens; the rest parts them.
+# In ASCII texts letters and digits make tokens; the rest parts them. Other texts go by token_spans.
 MARKS = np.ones(256, dtype=bool)
 MARKS[128:] = False
 for _range in (b"09", b"AZ", b"az"):
@@ -99,9 +102,48 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = SPACE)
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+# Scripts written without spaces, by the first words of their characters' names: each character is a token.
+UNSPACED = ("CJK UNIFIED", "CJK COMPATIBILITY IDEOGRAPH", "HIRAGANA", "KATAKANA", "THAI", "LAO", "KHMER", "MYANMAR", "TIBETAN")
+
+
+@cache
+def code_points() -> np.ndarray:
+    """Of each code point: 0 if it parts tokens, 1 if it makes tokens with its neighbours, 2 if it is one."""
+    kinds = np.zeros(sys.maxunicode + 1, dtype=np.uint8)
+    for c in range(sys.maxunicode + 1):
+        # letters, marks and numbers
+        if unicodedata.category(chr(c))[0] in "LMN":
+            kinds[c] = 2 if unicodedata.name(chr(c), "").startswith(UNSPACED) else 1
+    return kinds
+
+
+def token_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``starts, ends, bounds`` of tokens: runs of letters and digits, and single characters of scripts without spaces.
+
+    Bytes that are no UTF-8 count as letters.
+    """
+    if not len(data) or data.max() < 128:
+        return word_spans(data, offsets, MARKS)
+    try:
+        points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), dtype="<u4")
+    except UnicodeDecodeError:
+        return word_spans(data, offsets, MARKS)
+    kinds = code_points()[points]
+    places = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+    heads = np.searchsorted(places, offsets)
+    joined = kinds == 1
+    # whether a character goes on with the one before it
+    on = np.zeros(len(kinds) + 1, dtype=bool)
+    on[1:-1] = joined[1:] & joined[:-1]
+    on[heads] = False
+    inside = kinds > 0
+    starts, ends = np.flatnonzero(inside & ~on[:-1]), np.flatnonzero(inside & ~on[1:]) + 1
+    return places[starts], places[ends], np.searchsorted(starts, heads)
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hashes of words with A-Z in lower case."""
-    return span_hashes(prefix_hashes(LOWER[data]), starts, ends)
+    return solid_hashes(LOWER[data], starts, ends)
 
 
 # Words above so many bytes are hashed one by one.

@@ -161,3 +161,59 @@ def test_decontamination_edges(spark):
     assert sorted((r["doc_id"] or 0, r["n_items"]) for r in got) == [(0, 2), (1, 0), (2, 0), (3, 2), (3, 2), (4, 2), (5, 0)]
     assert decontaminate.contamination(docs_df.limit(0), items_df).count() == 0
     assert not any(r["contaminated"] for r in rows(decontaminate.contamination(docs_df, items_df.limit(0))))
+
+
+def test_short_items_and_other_scripts(spark):
+    items = [(1, "alpha beta gamma delta"), (2, "alpha beta"), (3, "\u4eca\u65e5\u306f\u5929\u6c17\u304c\u3068\u3066\u3082\u826f\u3044"), (4, "she said never again will we go there"), (5, "d\u00e9j\u00e0 vu \u00e0 l\u2019\u00e9cole fran\u00e7aise")]
+    docs = [
+        (1, "so Alpha, beta; gamma delta!", "x"),
+        (2, "alpha beta gamma", "x"),
+        (3, "\u524d\u7f6e\u304d\u3002\u4eca\u65e5\u306f\u5929\u6c17\u304c\u3068\u3066\u3082\u826f\u3044\u3001\u3068\u601d\u3046\u3002", "x"),
+        (4, "\u201cShe said \u2018never\u2019 again\u2014will we go there?\u201d", "x"),
+        (5, "voil\u00e0 : d\u00e9j\u00e0 vu \u00e0 l'\u00e9cole fran\u00e7aise", "x"),
+        (6, "gamma delta alpha beta", "x"),
+    ]
+    got = rows(decontaminate.contamination(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string")))
+    assert {r["doc_id"]: r["item_ids"] for r in got} == {1: [1], 2: [], 3: [3], 4: [4], 5: [5], 6: []}
+
+
+def test_token_spans_by_code_point():
+    import unicodedata
+
+    import numpy as np
+    from siftline.llm.arrays import token_spans
+
+    texts = ["", "ab1 c-d", "\u00e9t\u00e9 \u2019x", "\u4e2d\u6587ab\u4e2d", "e\u0301 \U0001d49c\u3001", "", "x\u00e9", "\u00e9x"]
+    encoded = [t.encode() for t in texts]
+    offsets = np.cumsum([0, *map(len, encoded)])
+    data = np.frombuffer(b"".join(encoded), np.uint8)
+    starts, ends, bounds = token_spans(data, offsets)
+    got = [[bytes(data[a:b]).decode() for a, b in zip(starts[x:y], ends[x:y])] for x, y in zip(bounds, bounds[1:])]
+    assert got == [[], ["ab1", "c", "d"], ["\u00e9t\u00e9", "x"], ["\u4e2d", "\u6587", "ab", "\u4e2d"], ["e\u0301", "\U0001d49c"], [], ["x\u00e9"], ["\u00e9x"]]
+    assert unicodedata.category("\u0301") == "Mn"
+
+
+def test_memory_of_repetitive_texts_goes_by_the_sum_of_lengths():
+    import tracemalloc
+
+    import numpy as np
+    from siftline.llm.decontaminate import Block, tokens_of
+    import pyarrow as pa
+
+    block = Block([1, 2, 3], ["a " * 1000, "a a a a a b " * 150, "a"], 5, 3)
+    doc = next(tokens_of(pa.array(["a " * 1_000_000])))[0]
+    assert len(doc) == 1_000_000
+    tracemalloc.start()
+    got = {h["item_id"]: (h["covered"], h["tiles"]) for h in block.search(doc)}
+    assert tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
+    assert got == {1: (1000, 1), 2: (750, 150)}
+
+
+def test_words_that_a_polynomial_confuses_are_told_apart(spark):
+    one = "a"
+    for _ in range(10):
+        one += one.translate(str.maketrans("ab", "ba"))
+    other = one.translate(str.maketrans("ab", "ba"))
+    got = rows(near_dedup.near_duplicates(spark.createDataFrame([(1, one, "x"), (2, other, "x"), (3, one.upper(), "x")], DOCS), k=4, percent=80))
+    assert {r["doc_id"]: r["component_id"] for r in got} == {1: 1, 2: 2, 3: 1}
