@@ -95,6 +95,8 @@ QUERIES = {
     )
 }
 ORACLES: dict[str, str] = {
+    "op7_quality_rules": quality.ORACLE,
+    "op9_url_rules": url_rules.ORACLE,
     "op11_filter_audit": filter_audit.ORACLE,
     "op12_hard_negatives": hard_negatives.ORACLE,
 }

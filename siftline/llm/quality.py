@@ -27,6 +27,52 @@ RULES: dict[str, str] = {
 }
 BASE_RULES = ("short", "repeats")
 
+# The query in DuckDB's SQL: repeated windows by their words instead of by hashes, hosts' rates rule by rule.
+ORACLE = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS row_id, doc_id, source, coalesce(text, '') AS t FROM documents
+), split AS (
+    SELECT row_id, doc_id, source, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM texts
+), windows AS (
+    SELECT row_id, i, words[i:i + 7] AS w FROM (SELECT row_id, words, unnest(range(1, len(words) - 6)) AS i FROM split WHERE len(words) >= 8)
+), twice AS (
+    SELECT row_id, unnest(list(i)) AS i FROM windows GROUP BY row_id, w HAVING count(*) > 1
+), inside AS (
+    SELECT row_id, count(DISTINCT i + k) AS n FROM twice, (SELECT unnest(range(0, 8)) AS k) GROUP BY row_id
+), measured AS (
+    SELECT split.row_id, doc_id, source, CAST(len(words) AS BIGINT) AS n_words, CAST(len(lines) AS BIGINT) AS n_lines,
+        CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+        CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+        CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+        CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+    FROM split LEFT JOIN inside USING (row_id)
+), failed AS (
+    SELECT source, unnest([
+        ('short', n_words < 20),
+        ('repeats', 100 * n_repeat_words > 30 * n_words),
+        ('symbols', 10 * n_symbols > n_words),
+        ('dup_lines', 10 * n_dup_lines > 3 * n_lines),
+        ('word_length', n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 15 * n_words))]) AS f
+    FROM measured WHERE source IS NOT NULL
+), hosts AS (
+    SELECT source, f[1] AS rule, count(*) AS n, sum(CAST(f[2] AS INT)) AS x FROM failed GROUP BY ALL
+), priors AS (
+    SELECT rule, avg(x / n) AS m, var_pop(x / n) AS v FROM hosts GROUP BY rule
+), strengths AS (
+    SELECT rule, m, CASE WHEN v > 0 THEN least(1e6, greatest(1.0, m * (1 - m) / v - 1)) ELSE 1e6 END AS s FROM priors
+), verdicts AS (
+    SELECT source, max((x + m * s) / (n + s)) >= 0.5 AS host_rejected FROM hosts JOIN strengths USING (rule) GROUP BY source
+), judged AS (
+    SELECT *, coalesce(host_rejected, false) AS rejected, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base
+    FROM measured LEFT JOIN verdicts USING (source)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    rejected AS host_rejected, base AS base_failed, NOT base AND NOT rejected AS kept
+FROM judged
+"""
+
 
 def has_word(line: Column) -> Column:
     return F.translate(line, SPACES, "") != ""

@@ -68,6 +68,54 @@ TOPICS = (
     words_rule("block", "spam"),
 )
 
+# The query over SITES and TOPICS in DuckDB's SQL. A word rule's word stands between ends or characters
+# other than letters and digits, before the first slash.
+ORACLE = r"""
+WITH urls AS (
+    SELECT page_id,
+        translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+    FROM pages
+), rules(name, site, start, word, verdict, weight, tokens) AS (VALUES
+    ('com/', 'com', '/', NULL, 'allow', 4, ['com']),
+    ('example.com/en/', 'example.com', '/en/', NULL, 'block', 15, ['example', 'com', 'en']),
+    ('www.example.com/en/', 'www.example.com', '/en/', NULL, 'allow', 19, ['www', 'example', 'com', 'en']),
+    ('net/es/', 'net', '/es/', NULL, 'block', 7, ['net', 'es']),
+    ('net/fr/', 'net', '/fr/', NULL, 'block', 7, ['net', 'fr']),
+    ('*adult*', NULL, NULL, 'adult', 'block', 0, ['adult']),
+    ('*ads-track*', NULL, NULL, 'ads-track', 'block', 0, ['ads', 'track']),
+    ('*casino*', NULL, NULL, 'casino', 'block', 0, ['casino']),
+    ('*cheap-pills*', NULL, NULL, 'cheap-pills', 'block', 0, ['cheap', 'pills']),
+    ('*free-bets*', NULL, NULL, 'free-bets', 'block', 0, ['free', 'bets']),
+    ('*spam*', NULL, NULL, 'spam', 'block', 0, ['spam'])
+), sites AS (SELECT DISTINCT host, path FROM urls),
+tokens AS (
+    SELECT host, path, unnest(list_distinct(regexp_extract_all(
+        translate(host || ' ' || path, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9]+'))) AS token
+    FROM sites
+), frequencies AS (SELECT token, count(*) AS n FROM tokens GROUP BY token),
+filed AS (
+    SELECT name, first(token ORDER BY coalesce(n, 0), token) AS token
+    FROM (SELECT name, unnest(tokens) AS token FROM rules) LEFT JOIN frequencies USING (token)
+    GROUP BY name
+), candidates AS (
+    SELECT host, path, r.name, r.verdict, r.weight,
+        CASE WHEN r.word IS NULL
+            THEN (host = r.site OR ends_with(host, '.' || r.site)) AND starts_with(path, r.start)
+            ELSE regexp_matches(host || path, '^(?:[^/]*[^/a-z0-9])?' || r.word || '(?:[^a-z0-9]|$)') END AS hit
+    FROM tokens JOIN filed USING (token) JOIN rules r USING (name)
+), best AS (
+    SELECT host, path, count(*) AS n_candidates,
+        first(name ORDER BY weight DESC, name DESC) FILTER (hit) AS name,
+        first(verdict ORDER BY weight DESC, name DESC) FILTER (hit) AS verdict,
+        max(weight) FILTER (hit) AS weight
+    FROM candidates GROUP BY host, path
+)
+SELECT page_id, host, path, CASE WHEN weight > 0 THEN name END AS rule,
+    coalesce(verdict, 'allow') AS verdict, coalesce(n_candidates, 0) AS n_candidates
+FROM urls LEFT JOIN best USING (host, path)
+"""
+
 
 def host_of(url: Column) -> Column:
     """After the first ``://`` up to ``/ ? #`` or the end, A-Z lower-cased; else empty."""
