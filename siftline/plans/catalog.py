@@ -12,7 +12,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import event_json as ej, events as ev
 from ..functions.keys import hashed_key, plain_key, with_key
@@ -23,7 +23,7 @@ from ..session import scratch_path, settle
 from ..sinks import committed as sink
 from ..sources import batches, positions as pos
 from ..sources.logs import read_table, stream_files, to_records
-from ..streaming import buffer as sbuf, control, dedup as sdedup, keyed_state as keyed, monitor
+from ..streaming import buffer as sbuf, control, dedup as sdedup, keyed_state as keyed, monitor, windows
 from ..sinks.manifest import Fenced
 from .dedup_job import DedupJob
 from .sort_job import sort_log
@@ -1200,16 +1200,61 @@ def b7_stream_event_time_flush(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _run_by_parts(
-    spark: SparkSession, rows: DataFrame, start: Callable[[DataFrame], control.StreamingQuery]
+    spark: SparkSession, rows: DataFrame, start: Callable[[DataFrame], control.StreamingQuery], delayed: Column | None = None
 ) -> None:
-    """``rows`` arrive in four parts, each a micro-batch of a query started anew."""
+    """``rows`` arrive in four parts, each a micro-batch of a query started anew; delayed ones a part later."""
     source = scratch_path(spark, "parts")
     size = rows.select(F.ceil((F.max("offset") + 1) / LANES)).first()[0]
+    arrival = F.floor(F.col("offset") / size)
+    if delayed is not None:
+        arrival = F.least(F.lit(LANES - 1), arrival + delayed.cast("int"))
     for part in range(LANES):
-        rows.where(F.floor(F.col("offset") / size) == part).write.mode("append").parquet(source)
+        rows.where(arrival == part).write.mode("append").parquet(source)
         control.run_to_end(start(stream_files(spark, source, rows.schema)))
 
 
+_ARRIVED = """arrived AS (SELECT event_id, event_type, user_id, CASE WHEN event_id % 17 <> 0 THEN ts END AS ts,
+    least(3, event_id // (SELECT CAST(ceil((max(event_id) + 1) / 4) AS BIGINT) FROM events) + CAST(event_id % 13 = 0 AS INT)) AS part
+    FROM events), judged AS (SELECT *, CASE WHEN ts IS NULL THEN 'untimed'
+    WHEN date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(b.ts) FROM arrived b WHERE b.part < a.part) - INTERVAL 1 DAY THEN 'late'
+    WHEN date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM arrived) - INTERVAL 1 DAY THEN 'closed'
+    ELSE 'open' END AS outcome FROM arrived a)"""
+
+
+def _split_windows(spark: SparkSession, d: str) -> str:
+    """Daily windows, a day of lateness; each 17th event has no time and each 13th arrives a part later. The root."""
+    timed = F.when(F.col("event_id") % 17 != 0, F.col("ts")).cast("timestamp")
+    rows = read_table(spark, d, "events").select(
+        F.lit(0).alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.col("event_type").alias("eventType"),
+        F.col("user_id").cast("string").alias("id"),
+        F.col("props").alias("payload"),
+        timed.alias("ts"),
+    )
+    root, checkpoint = scratch_path(spark, "split"), scratch_path(spark, "split-state")
+    _run_by_parts(spark, rows, lambda part: windows.start_window_split(part, root, checkpoint, "1 day", "1 day"), F.col("offset") % 13 == 0)
+    return root
+
+
+@register(f"""WITH {_ARRIVED} SELECT event_id AS "offset", outcome AS reason FROM judged WHERE outcome IN ('late', 'untimed')""")
+def b7_stream_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """Late and untimed events, written beside the flushes of the batch they came in."""
+    return windows.rejects(spark, _split_windows(spark, d)).select("offset", "reason")
+
+
+@register(
+    f"""WITH {_ARRIVED}, flushed AS (SELECT count(*) AS n FROM (SELECT DISTINCT date_trunc('day', ts), event_type, user_id
+    FROM judged WHERE outcome = 'closed')) SELECT outcome, count(*) AS n FROM judged WHERE outcome <> 'closed' GROUP BY 1
+    UNION ALL SELECT 'flushed', n FROM flushed
+    UNION ALL SELECT 'superseded', count(*) - (SELECT n FROM flushed) FROM judged WHERE outcome = 'closed'
+    UNION ALL SELECT 'bad', 0"""
+)
+def b7_stream_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    """What became of every event: flushed, superseded, open, late, untimed and bad add up to the input."""
+    return windows.outcomes(spark, _split_windows(spark, d))
+
+
 @register(_FLAGGED)
 def d1_stream_parts_keyed_state(spark: SparkSession, d: str) -> DataFrame:
     """Keyed state carried over four micro-batches and as many runs."""

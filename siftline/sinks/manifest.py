@@ -75,6 +75,12 @@ def _hadoop(spark: SparkSession, path: str):
     return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all in it; nothing happens if there is none."""
+    at, files = _hadoop(spark, path)
+    files.delete(at, True)
+
+
 def _versions(spark: SparkSession, root: str) -> dict[int, str]:
     folder, files = _hadoop(spark, f"{root}/manifest")
     if not files.exists(folder):

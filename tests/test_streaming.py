@@ -17,7 +17,7 @@ from siftline.plans.dedup_job import DedupJob
 from siftline.schemas import RECORD
 from siftline.sinks import committed as sink, manifest
 from siftline.sources import logs
-from siftline.streaming import buffer as sbuf, control, dedup as sdedup, keyed_state as keyed, monitor
+from siftline.streaming import buffer as sbuf, control, dedup as sdedup, keyed_state as keyed, monitor, windows
 
 EVENT_ROW = "partition int, offset bigint, eventType string, id string, payload string, ts timestamp"
 
@@ -455,6 +455,39 @@ def test_event_time_windows_and_late_rows(spark, event_folder, paths):
     assert closed.count() == 3 and buf.pending_size(buf.upsert(buf.prepare(batch)).subtract(closed)).first()[1] == 3
 
 
+def test_split_windows_reject_late_untimed_and_bad_events(spark, event_folder, paths, monkeypatch):
+    t0, minute = datetime(2024, 1, 1), timedelta(minutes=1)
+    event_folder.add(event(0, "C", "1", "c", t0), event(1, "A", "1", "a", t0 + 5 * minute), event(2, "C", "1", "c2", t0 + 6 * minute))
+    event_folder.add(event(3, "B", "1", "b", t0 + 12 * minute), event(4, "A", "2", "x", t0 + 25 * minute), (0, 5, "A", "2", "x", None))
+    event_folder.add(event(6, "A", "3", "late", t0 + 1 * minute), event(7, None, "5", "z", t0 + 27 * minute), event(8, "A", "2", "y", t0 + 26 * minute))
+    root, checkpoint = paths
+
+    def start():
+        return windows.start_window_split(event_folder.stream(), root, checkpoint, "10 minutes")
+
+    # stopped before the mark of the second batch; the next run repeats the batch
+    write, calls = windows.write_flushes, []
+
+    def failing(*args):
+        write(*args)
+        calls.append(args)
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(windows, "write_flushes", failing)
+    with pytest.raises(StreamingQueryException):
+        control.run_to_end(start(), 120)
+    assert calls and windows.marks(spark, root).count() == 1
+    assert windows.rejects(spark, root).count() == 0
+    monkeypatch.setattr(windows, "write_flushes", write)
+    control.run_to_end(start(), 120)
+    assert flushes(spark, f"{root}/flushes", "flush_start") == [[(1, None, "A", "A"), (2, None, "C", "C2")], [(1, None, "B", "B")]]
+    assert sorted((r["offset"], r["reason"]) for r in windows.rejects(spark, root).collect()) == [(5, "untimed"), (6, "late"), (7, "missing type")]
+    found = {r["outcome"]: r["n"] for r in windows.outcomes(spark, root).collect()}
+    assert found == {"flushed": 3, "superseded": 1, "open": 2, "late": 1, "untimed": 1, "bad": 1}
+    # pieces of windows flushed by an earlier batch are gone
+    assert len(glob.glob(f"{root}/pieces/window=*")) == 1
+
+
 # ---- reports --------------------------------------------------------------
 
 
