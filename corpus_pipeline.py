@@ -15,8 +15,8 @@ STAGES = [
     ("sharding", stages.shard_documents),
 ]
 
-# Components and greedy tiling are iterative. tests/llm/test_stages.py has cases for the first three
-# stages and empty tables for all; no test holds run() to a plain Python version yet.
+# Components and greedy tiling are iterative. tests/llm/test_stages.py holds run() stage by stage to plain
+# versions or to the laws of the stages.
 ORACLE_SQL = None
 
 
