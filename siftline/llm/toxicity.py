@@ -18,7 +18,7 @@ from .arrays import LOWER, MARKS, mix, prefix_hashes, runs, span_hashes, word_sp
 from .tables import stored
 
 BUCKETS = 1 << 18
-# The labelled sample: so many rows of each label, those with the lowest hash of the id.
+# The labelled sample: so many ids of each label, those with the lowest hash of the id.
 SAMPLE = 2500
 HELD_OUT = 5
 # Beginnings of words, in bytes, that are features beside the whole word.
@@ -54,7 +54,10 @@ def features(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text: str, label: str, sample: int) -> DataFrame:
-    """``id, text, y`` of at most ``sample`` rows per label, none of them held out."""
+    """``id, text, y`` of at most ``sample`` ids per label, none of them held out.
+
+    Of rows that repeat an id the one whose text has the smallest hash is taken.
+    """
     known = (
         labels.select(F.col(id_col).cast("long").alias("id"), F.col(label).cast("int").alias("y"))
         .filter("id is not null and y in (0, 1)")
@@ -66,8 +69,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text: str,
     for y in (0, 1):
         part = known.filter(F.col("y") == y).orderBy(F.xxhash64(F.lit(SEED), "id"), "id").limit(sample)
         chosen = part if chosen is None else chosen.union(part)
-    # at most 2 * sample ids
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id")
+    # at most 2 * sample ids, each with one text however many rows repeat it
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id")
+    first = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))
+    return rows.groupBy("id", "y").agg(first["text"].alias("text")).select("id", "text", "y")
 
 
 def held_out(id_: Column) -> Column:
@@ -100,33 +105,74 @@ def bags(sample: DataFrame) -> DataFrame:
     return sample.mapInArrow(bagged, "id long, y int, sizes array<int>, features array<int>")
 
 
-def fit(rows: list) -> tuple[np.ndarray, float]:
+def telling(rows: DataFrame) -> np.ndarray:
+    """The features that get a weight, at most BUCKETS of them, from the ``bags`` of a sample.
+
+    Most words are in few documents and tell nothing: a feature must be in at least LEAST_DOCS
+    documents, and its shares in toxic and clean ones must differ by SIGMAS standard errors.
+    """
+    filled = rows.filter(F.size("sizes") > 0)
+    toxic, clean = (F.coalesce(F.sum(F.when(F.col("y") == y, 1)), F.lit(0)) for y in (1, 0))
+    n1, n0 = filled.agg(toxic, clean).first()
+    if not n1 or not n0:
+        return np.zeros(0, dtype=np.int64)
+    counts = filled.select("y", F.explode(F.array_distinct("features")).alias("feature"))
+    counts = counts.groupBy("feature").agg(toxic.alias("in_toxic"), clean.alias("in_clean"))
+    both = F.col("in_toxic") + F.col("in_clean")
+    mean = both / F.lit(n0 + n1)
+    error = F.sqrt(mean * (1 - mean) * F.lit(1 / n0 + 1 / n1)) + F.lit(1e-9)
+    apart = F.abs(F.col("in_toxic") / F.lit(n1) - F.col("in_clean") / F.lit(n0)) >= SIGMAS * error
+    used = counts.filter(apart & (both >= LEAST_DOCS)).select("feature").toArrow()
+    return np.sort(np.asarray(used.column("feature"), dtype=np.int64))
+
+
+def narrowed(rows: DataFrame, used: np.ndarray) -> DataFrame:
+    """``id, y, times, sizes, features`` of ``bags``, with the given features only, numbered from 0.
+
+    Sentences of a document that agree in these are one, which stands there ``times`` times.
+    """
+    number = np.full(BUCKETS, -1, dtype=np.int32)
+    number[used] = np.arange(len(used))
+    lists = pa.list_(pa.int32())
+    schema = pa.schema([("id", pa.int64()), ("y", pa.int32()), ("times", lists), ("sizes", lists), ("features", lists)])
+
+    def narrow(batches):
+        for batch in batches:
+            times, sizes, features = [], [], []
+            for own, ids in zip(batch.column("sizes"), batch.column("features")):
+                own = np.asarray(own.values, dtype=np.int64)
+                ids = number[np.asarray(ids.values)]
+                sentence = np.repeat(np.arange(len(own)), own)[ids >= 0]
+                ids = ids[ids >= 0]
+                left = np.bincount(sentence, minlength=len(own))
+                empty = int((left == 0).sum())
+                alike = {b"": empty} if empty else {}
+                for part in np.split(ids, np.cumsum(left[left > 0])[:-1]) if len(ids) else ():
+                    key = part.tobytes()
+                    alike[key] = alike.get(key, 0) + 1
+                times.append(list(alike.values()))
+                sizes.append([len(k) // ids.itemsize for k in alike])
+                features.append(np.frombuffer(b"".join(alike), dtype=np.int32))
+            arrays = [batch.column("id"), batch.column("y"), *(pa.array(x, lists) for x in (times, sizes, features))]
+            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+    return rows.mapInArrow(narrow, "id long, y int, times array<int>, sizes array<int>, features array<int>")
+
+
+def fit(rows: list, used: np.ndarray) -> tuple[np.ndarray, float]:
     """Weights and bias that maximise the likelihood of document labels under noisy-or.
 
-    Full-batch Adam from weights of 0 and a low bias. Most words are in few documents and tell
-    nothing: only features of at least LEAST_DOCS documents whose shares in toxic and clean
-    ones differ by SIGMAS standard errors get a weight. Both labels weigh the same in sum. With one label only, or
-    none, the weights stay 0 and the bias gives the label's score.
+    ``rows`` are those of ``narrowed``. Full-batch Adam from weights of 0 and a low bias. Both
+    labels weigh the same in sum. With one label only, or none, the weights stay 0 and the
+    bias gives the label's score.
     """
     weights = np.zeros(BUCKETS)
     rows = [r for r in rows if len(r["sizes"])]
     y = np.array([r["y"] for r in rows], dtype=float)
     if not len(y) or y.min() == y.max():
         return weights, (20.0 if len(y) and y[0] else -20.0)
-    docs_of = np.zeros((2, BUCKETS))
-    for r in rows:
-        docs_of[r["y"], np.unique(r["features"])] += 1
-    n = np.array([[(y == 0).sum()], [(y == 1).sum()]])
-    mean = docs_of.sum(axis=0) / n.sum()
-    error = np.sqrt(mean * (1 - mean) * (1 / n).sum()) + 1e-9
-    apart = np.abs(docs_of[1] / n[1] - docs_of[0] / n[0]) >= SIGMAS * error
-    number = np.full(BUCKETS, -1)
-    used = np.flatnonzero(apart & (docs_of.sum(axis=0) >= LEAST_DOCS))
-    number[used] = np.arange(len(used))
-    sizes = np.concatenate([r["sizes"] for r in rows]).astype(np.int64)
-    feature = number[np.concatenate([r["features"] for r in rows])]
+    times, sizes, feature = (np.concatenate([r[c] for r in rows]).astype(np.int64) for c in ("times", "sizes", "features"))
     sentence = np.repeat(np.arange(len(sizes)), sizes)
-    sentence, feature = sentence[feature >= 0], feature[feature >= 0]
     bag = np.repeat(np.arange(len(rows)), [len(r["sizes"]) for r in rows])
     weight = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum())
     w, b = np.zeros(len(used)), -6.0
@@ -135,11 +181,11 @@ def fit(rows: list) -> tuple[np.ndarray, float]:
         z = np.bincount(sentence, w[feature], len(sizes)) + b
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         # log(1 - P) of a document is the sum of log(1 - p) of its sentences
-        none = np.bincount(bag, np.log1p(-np.minimum(p, 1 - 1e-12)), len(rows))
+        none = np.bincount(bag, times * np.log1p(-np.minimum(p, 1 - 1e-12)), len(rows))
         doc = -np.expm1(none)
         # d log-likelihood / d sum(log(1 - p)): 1 for clean documents, -(1 - P) / P for toxic ones
         pull = np.where(y == 1, -(1 - doc) / np.maximum(doc, 1e-9), 1.0) * weight
-        slope = pull[bag] * p
+        slope = pull[bag] * p * times
         g = np.append(np.bincount(feature, slope[sentence], len(used)) + 1e-5 * w, slope.sum())
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         move = 0.3 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
@@ -149,12 +195,17 @@ def fit(rows: list) -> tuple[np.ndarray, float]:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE) -> tuple[np.ndarray, float]:
-    """Fit on the bounded labelled sample; only its feature numbers reach the driver."""
+    """Fit on the bounded labelled sample.
+
+    Features are counted and chosen in Spark. The driver gets the numbers of those chosen that each
+    sentence has, equal sentences of a document once.
+    """
     rows = stored(bags(labelled_sample(docs, labels, id_col, text, label, sample)), "bags")
-    columns = rows.orderBy("id").select("y", "sizes", "features").toArrow()
-    parts = [columns.column(c) for c in ("sizes", "features")]
-    unpacked = [[np.asarray(x.values) for x in p] for p in parts]
-    return fit([{"y": y, "sizes": s, "features": f} for y, s, f in zip(columns.column("y").to_pylist(), *unpacked)])
+    used = telling(rows)
+    columns = narrowed(rows, used).orderBy("id").select("y", "times", "sizes", "features").toArrow()
+    names = ("times", "sizes", "features")
+    unpacked = [[np.asarray(x.values) for x in columns.column(c)] for c in names]
+    return fit([{"y": y, **dict(zip(names, own))} for y, *own in zip(columns.column("y").to_pylist(), *unpacked)], used)
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -200,7 +251,7 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     """One row per input row: ``doc_id, held_out, score, predicted, sentences``.
 
     Labels are learnt from rows whose crc32 of the id modulo 5 is not 0, a null label
-    or id from none. Scores depend on the text alone. Repeated rows score alike; an empty
+    or id from none, and from one text of each id. Scores depend on the text alone. Repeated rows score alike; an empty
     table gives no rows; without labels of both kinds all texts with words score alike;
     other columns are left out.
     """

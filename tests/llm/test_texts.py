@@ -110,3 +110,46 @@ def test_one_label_only(spark, y):
     docs = spark.createDataFrame([(i, f"text {i}", "x") for i in range(30)], DOCS)
     got = rows(toxicity.judge(docs, spark.createDataFrame([(i, y) for i in range(30)], "doc_id long, toxic int")))
     assert {r["predicted"] for r in got} == {y}
+
+
+def test_toxicity_sample_has_one_text_of_each_id(spark):
+    texts = [(1, f"text {i}", "x") for i in range(500)] + [(2, None, "x"), (2, "", "x"), (3, "three", "x")]
+    docs = spark.createDataFrame(texts, DOCS).repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(10)] * 3, "doc_id long, toxic int")
+    got = rows(toxicity.labelled_sample(docs, labels, "doc_id", "text", "toxic", 100))
+    assert sorted(r["id"] for r in got) == [i for i in (1, 2, 3) if brute.crc(str(i)) % 5]
+    again = rows(toxicity.labelled_sample(docs.repartition(7), labels, "doc_id", "text", "toxic", 100))
+    assert sorted(got, key=lambda r: r["id"]) == sorted(again, key=lambda r: r["id"])
+
+
+def test_toxicity_features_are_chosen_as_by_hand(spark):
+    """Features against a plain count, and sentences that agree in the chosen ones are sent once."""
+    rng = random.Random(5)
+    plain = lambda: " ".join(rng.choice(["fine", "day", "walk", "tree", "river", "stone"]) for _ in range(5)) + ". "
+    data = [(i, plain() * 3 + ("you moron. " if i % 2 else "") + plain(), i % 2) for i in range(80)]
+    sample = spark.createDataFrame(data, "id long, text string, y int")
+    found = toxicity.bags(sample).cache()
+    bagged = rows(found)
+    in_docs = {}
+    for r in bagged:
+        for f in set(r["features"]):
+            in_docs.setdefault(f, [0, 0])[r["y"]] += 1
+    want = []
+    for f, (clean, toxic) in in_docs.items():
+        mean = (clean + toxic) / 80
+        error = (mean * (1 - mean) * (1 / 40 + 1 / 40)) ** 0.5 + 1e-9
+        if abs(toxic / 40 - clean / 40) >= toxicity.SIGMAS * error and clean + toxic >= toxicity.LEAST_DOCS:
+            want.append(f)
+    used = toxicity.telling(found)
+    assert want and used.tolist() == sorted(want)
+    sent = {r["id"]: r for r in rows(toxicity.narrowed(found, used))}
+    for r in bagged:
+        own = sent[r["id"]]
+        assert sum(own["times"]) == len(r["sizes"]) and len(own["sizes"]) == len(own["times"]) <= 2
+        assert sum(own["sizes"]) == len(own["features"])
+        counted = sum(t * n for t, n in zip(own["times"], own["sizes"]))
+        assert counted == sum(f in set(want) for f in r["features"])
+    # a text a hundred times as long sends as much
+    long = toxicity.bags(spark.createDataFrame([(i, t * 100, y) for i, t, y in data], "id long, text string, y int"))
+    assert sum(len(r["sizes"]) for r in rows(toxicity.narrowed(long, used))) == sum(len(r["sizes"]) for r in sent.values())
+    assert toxicity.telling(found.filter("y = 0")).tolist() == []
