@@ -40,6 +40,8 @@ _numbers = mix(np.arange(1, 2 * SYMBOLS + 1, dtype=np.uint64))
 # The long signature, for the documents that are left for the second pass.
 BITS = 2048
 SIGMAS = 6
+# So many documents of a key are held against the others by one task.
+BLOCK = 2000
 WORDS = [f"w{i}" for i in range(BITS // 64)]
 FACTORS, SHIFTS = _numbers[:SYMBOLS] | np.uint64(1), _numbers[SYMBOLS:]
 
@@ -194,19 +196,24 @@ def long_signatures(sets: DataFrame) -> DataFrame:
 def close_pairs(across: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``a, b`` of different components that share a key and are near by the long signature.
 
-    ``across`` has ``key, node, component``.
+    ``across`` has ``key, node, component``. Documents of a key are dealt out to blocks of about BLOCK,
+    and each block meets all documents of the key, so a hot key is work for many tasks.
     """
     differ = (1 - percent / 100) / 2
     most = int(np.ceil(BITS * differ + SIGMAS * np.sqrt(BITS * differ * (1 - differ))))
     keys = across.groupBy("node").agg(F.sort_array(F.collect_list("key")).alias("keys"))
     signed = long_signatures(sets.join(across.select("node").distinct(), "node", "left_semi"))
-    full = stored(across.join(signed.join(keys, "node"), "node"), "long")
+    blocks = across.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")).filter("blocks > 1")
+    dealt = join_skewed(across, blocks, ["key"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    full = stored(dealt.join(signed.join(keys, "node"), "node"), "long")
     names = ["node", "component", "keys", *WORDS]
-    a = full.select("key", *[F.col(c).alias(f"{c}_a") for c in names])
-    b = full.select("key", *[F.col(c).alias(f"{c}_b") for c in names])
+    block = F.pmod(F.xxhash64("node"), "blocks").cast("int")
+    a = full.select("key", block.alias("block"), *[F.col(c).alias(f"{c}_a") for c in names])
+    b = full.select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), *[F.col(c).alias(f"{c}_b") for c in names])
     distance = F.expr(" + ".join(f"bit_count({w}_a ^ {w}_b)" for w in WORDS))
     near = (
         (a["key"] == b["key"])
+        & (a["block"] == b["block"])
         & (F.col("node_a") < F.col("node_b"))
         & (F.col("component_a") != F.col("component_b"))
         & (distance <= most)

@@ -39,7 +39,9 @@ def edited(rng, words, n):
     return " ".join(out)
 
 
-def test_near_copies_chains_and_edges(spark):
+@pytest.mark.parametrize("block", [near_dedup.BLOCK, 3])
+def test_near_copies_chains_and_edges(spark, monkeypatch, block):
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
     rng = random.Random(1)
     texts = {1: None, 2: "", 3: " \n", 4: "One two", 5: "one  TWO", 6: "one two three", 7: "long word " * 30_000, 8: "long word " * 30_001}
     base = [f"w{i}" for i in range(200)]
@@ -217,3 +219,17 @@ def test_words_that_a_polynomial_confuses_are_told_apart(spark):
     other = one.translate(str.maketrans("ab", "ba"))
     got = rows(near_dedup.near_duplicates(spark.createDataFrame([(1, one, "x"), (2, other, "x"), (3, one.upper(), "x")], DOCS), k=4, percent=80))
     assert {r["doc_id"]: r["component_id"] for r in got} == {1: 1, 2: 2, 3: 1}
+
+
+def test_hot_key_is_dealt_to_blocks(spark, monkeypatch):
+    """Every pair of a hot key that is near is found once, whatever the blocks."""
+    rng = random.Random(9)
+    base = list(range(400))
+    sets = [(i, sorted({*base[:360], *rng.sample(range(400, 400 + 40 * (1 + i % 3)), 20)})) for i in range(40)]
+    frame = spark.createDataFrame(sets, "node long, shingles array<long>")
+    across = frame.selectExpr("explode(array(5L, 6L)) as key", "node", "node as component")
+    found = []
+    for block in (1000, 7, 1):
+        monkeypatch.setattr(near_dedup, "BLOCK", block)
+        found.append(sorted((r["a"], r["b"]) for r in near_dedup.close_pairs(across, frame, 80).collect()))
+    assert found[0] == found[1] == found[2] == sorted((a, b) for a in range(40) for b in range(a + 1, 40))
